@@ -18,7 +18,7 @@ SETTINGS = {
 def build_session(master: str = "local[8]", partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A session for tests and benches; on a cluster the caller brings its own."""
     builder = SparkSession.builder.master(master).appName("quillsieve").config("spark.sql.shuffle.partitions", partitions)
-    builder = builder.config("spark.driver.memory", memory).config("spark.ui.enabled", "false")
+    builder = builder.config("spark.driver.memory", memory).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
