@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,18 +27,26 @@ def build_session(master: str = "local[8]", partitions: int = 8, memory: str = "
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: ``spark.checkpoint.dir``, or one of this machine where that is unset (tests)."""
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        folder = _LOCAL.setdefault("folder", tempfile.mkdtemp(prefix="quillsieve-"))
+    return folder
+
+
+_LOCAL: dict[str, str] = {}
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and read it back.
+    """Write ``df`` as a table into the shared folder and read it back.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only where that is unset (tests) a folder of
-    this machine is taken.  Lost executors don't lose the result, other than with a local checkpoint.
+    What was computed once is then read, not computed again, and it survives the loss of any executor.  The table is
+    columnar, so later stages read only the columns they need.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="quillsieve-checkpoint-"))
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
