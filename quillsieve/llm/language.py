@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 ORDER = 5
 #: Most training sentences taken of one language.
 TRAIN_SENTENCES = 2500
+#: A training sentence is dropped if another language saves more bits than this.
+DISPUTED_BITS = 10
 PAD = b"\n" * ORDER
 PROBES = 8
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -252,37 +254,57 @@ def label_code(label: Column) -> Column:
     return F.when((code != "") & (code != "und"), code)
 
 
-def training_sentences(texts: DataFrame, label: str, text: str, most: int = TRAIN_SENTENCES) -> dict[str, list[str]]:
-    """At most ``most`` sentences of each label, spread over all texts by hash; labels with under 20 are left out.
+def training_sentences(texts: DataFrame, keys: list[str], label: str, text: str, most: int = TRAIN_SENTENCES) -> tuple[dict[str, list[str]], dict[str, int]]:
+    """At most ``most`` sentences of each label, spread over all texts, and how many each has; labels with under 20 are left out.
 
-    The bounded sample only fits the classifier.  It is picked by a grouped minimum, which combines before the shuffle,
-    so no group is ever gathered whole.
+    The bounded sample only fits the classifier.  It is picked by the hash of a sentence's place, so frequent sentences
+    are as frequent in it and wrongly labelled ones as rare, and by a grouped minimum, which combines before the
+    shuffle, so no group is ever gathered whole.
     """
     cut = texts.filter(F.col(label).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(label).alias("label"), F.explode(F.split(text, r"(?<=[。！？!?\n])|(?<=[.])\s")).alias("sentence")
+        *keys, F.col(label).alias("label"), F.posexplode(F.split(text, r"(?<=[。！？!?\n])|(?<=[.])\s")).alias("_at", "sentence")
+    )
+    cut = cut.filter(F.length("sentence") >= 12).withColumn("_hash", F.xxhash64(*keys, "_at"))
+    picked = cut.groupBy("label", F.pmod("_hash", F.lit(most)).alias("_slot")).agg(
+        F.min_by("sentence", "_hash").alias("sentence"), F.count("*").alias("count")
     )
-    cut = cut.filter(F.length("sentence") >= 12).withColumn("_hash", F.xxhash64("sentence"))
-    picked = cut.groupBy("label", F.pmod("_hash", F.lit(most)).alias("_slot")).agg(F.min_by("sentence", "_hash").alias("sentence"))
     found: dict[str, list[str]] = {}
-    for row in picked.select("label", "sentence").collect():  # at most `most` rows a label
+    whole: dict[str, int] = {}
+    for row in picked.select("label", "sentence", "count").collect():  # at most `most` rows a label
         found.setdefault(row["label"], []).append(row["sentence"][:600])
-    return {k: sorted(v) for k, v in found.items() if len(v) >= 20}
+        whole[row["label"]] = whole.get(row["label"], 0) + row["count"]
+    return {k: sorted(v) for k, v in found.items() if len(v) >= 20}, {k: whole[k] for k, v in found.items() if len(v) >= 20}
 
 
-def fit(samples: dict[str, list[str]], rounds: int = 3) -> LanguageModel:
+def fit(samples: dict[str, list[str]], whole: dict[str, int], rounds: int = 2) -> LanguageModel:
     """A model fitted to sentences with unreliable labels.
 
-    Each half of the sentences is judged by a model of the other half, so that no sentence vouches for its own label;
-    disputed ones are dropped, and the rest is judged again.
+    Each half of the sentences is judged by a model of the other half, so that no sentence vouches for its own label.
+    One that another language codes clearly shorter is dropped, and the rest is judged again.  Sentences that occur
+    under several labels are dropped where they are far rarer.  ``whole`` has the number of sentences of each label:
+    what is wrongly labelled comes mostly from the frequent ones.
     """
+    times: dict[str, dict[str, int]] = {}
+    for label, own in samples.items():
+        for sentence in own:
+            of = times.setdefault(re.sub(r"\d+", "0", sentence), {})
+            of[label] = of.get(label, 0) + 1
+    weight = {label: whole[label] / len(own) for label, own in samples.items()}
+
+    def elsewhere(sentence: str, label: str) -> bool:
+        of = times[re.sub(r"\d+", "0", sentence)]
+        return any(n >= 3 and n * weight[x] > 3 * of[label] * weight[label] for x, n in of.items() if x != label)
+
+    samples = {label: [s for s in own if not elsewhere(s, label)] or own for label, own in samples.items()}
     for _ in range(rounds):
         halves = [{label: own[at::2] for label, own in samples.items()} for at in (0, 1)]
         models = [LanguageModel(half) for half in halves]
         kept: dict[str, list[str]] = {}
         for half, other in zip(halves, reversed(models)):
             for label, own in half.items():
-                names, _, _ = other.classify(own)
-                kept.setdefault(label, []).extend(s for s, name in zip(own, names) if name == label)
+                bits = other.code_lengths(own) if own else np.zeros((0, 1))
+                mine = bits[:, other.languages.index(label)] - bits.min(axis=1) if own else []
+                kept.setdefault(label, []).extend(s for s, more in zip(own, mine) if more <= DISPUTED_BITS)
         samples = {label: sorted(kept[label]) or own for label, own in samples.items()}
     return LanguageModel(samples)
 

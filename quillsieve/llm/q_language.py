@@ -21,7 +21,7 @@ def messages(spark: SparkSession, folder: str) -> DataFrame:
 
 def language_model(spark: SparkSession, folder: str) -> LanguageModel:
     known = messages(spark, folder).filter(F.col("label").isin(*LANGUAGES))
-    return fit(training_sentences(known, "label", "text"))
+    return fit(*training_sentences(known, ["sample_id", "turn"], "label", "text"))
 
 
 def _segments(spark: SparkSession, folder: str) -> DataFrame:
