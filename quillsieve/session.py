@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,6 +51,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let the Python workers of every executor import this package, wherever they run; once per application."""
+    context = spark.sparkContext
+    if _LOCAL.get("shipped") != context.applicationId:
+        root = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(prefix="quillsieve-")) / "quillsieve.zip"
+        with zipfile.ZipFile(archive, "w") as packed:
+            for path in sorted(root.rglob("*.py")):
+                packed.write(path, path.relative_to(root.parent))
+        context.addPyFile(str(archive))
+        _LOCAL["shipped"] = context.applicationId
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """The Parquet table ``name`` of a data folder."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
