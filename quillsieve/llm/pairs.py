@@ -3,8 +3,7 @@
 Five defects: an answer with no content, one that breaks off, a refusal, an answer that only repeats its question, and one
 written wholly in another language.  Copies are found by aligning the answer with the question (containment of shingles,
 then the longest common subsequence), refusals by aligning each of its clauses with refusal templates; languages by the
-byte model of ``language``.  Expressions of the JVM pick the pairs that an alignment could flag at all, so that Python
-sees few texts; every pair is examined.
+byte model of ``language``.  Cheap tests rule out most pairs before an alignment; every pair is examined.
 """
 
 from __future__ import annotations
@@ -12,13 +11,11 @@ from __future__ import annotations
 import re
 from functools import lru_cache
 
-import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillsieve.llm.language import LanguageModel, segment_languages
-from quillsieve.llm.truncation import HEADING, PLACEHOLDER
 
 #: Characters in a shingle, and the containment and common share from which an answer is a copy.
 SHINGLE = 3
@@ -47,10 +44,6 @@ FILLERS = """
 i'm sorry|but|sorry|unfortunately|as a language model|as an ai model|please consult a licensed professional|please see a doctor
 lo siento|es tut mir leid|leider|je suis désolé|désolé|申し訳ありませんが|申し訳ございません|죄송하지만|죄송합니다
 """
-CUE = (
-    r"(?i)无法|不能(?!只凭)|没有办法|超出|不便|不具备|恕|拒绝|无权|无可奉告|資格|無法|不便|沒有辦法|cannot|can['’]t|not able|unable|won['’]t|outside what|"
-    r"no puedo|no estoy|darf ich keine|kann ich nicht|désol|ne peux|pas en mesure|いたしかね|できません|없습니다|수 없"
-)
 CLAUSE = re.compile(r"[。，,.！!？?；;\n：:]+")
 ECHO = re.compile(r"^(?:您问的是|您的问题是|你问的是|问题|提问|您提到|question|q|frage|pregunta|質問|질문)+")
 # How a question asks for a language.
@@ -104,13 +97,15 @@ def _clause_kind(clause: str) -> str:
 
 def is_refusal(answer: str) -> bool:
     """Whether every clause aligns with a refusal or with something said beside one, and at least one refuses."""
-    refuses = False
-    for clause in CLAUSE.split(answer):
-        bare = _bare(clause)
+    refuses, start = False, 0
+    while start < len(answer):
+        stop = CLAUSE.search(answer, start)
+        bare = _bare(answer[start : stop.start() if stop else len(answer)])
+        start = stop.end() if stop else len(answer)
         if bare:
-            kind = _clause_kind(bare)
+            kind = _clause_kind(bare) if len(bare) <= 120 else ""
             if not kind:
-                return False
+                return False  # most answers end here, at their first clause
             refuses |= kind == "refusal"
     return refuses
 
@@ -137,16 +132,31 @@ def _asked_language(question: str) -> str | None:
     return None
 
 
-def _counts(text: Column, ranges: str) -> Column:
-    return F.length(F.regexp_replace(text, f"[^{ranges}]+", ""))
+THINK = re.compile(r"(?s)<think>.*?</think>")
+EMPTY = re.compile(
+    r"(?i)[\W_]*(?:null|none|nil|n/?a|nan|undefined|tbd|todo|无|暂无|空|略|待补充|没有"
+    r"|答|回答|答案|解答|回复|答复|解析|正文|answer|response|reply|antwort|réponse|respuesta|回答文|답|답변|답안|解答例)?[\W_]*"
+)
+KANA, HANGUL, HAN = re.compile(r"[ぁ-ヺ]{2}"), re.compile(r"[가-힣]{2}"), re.compile(r"[㐀-鿿]{3}")
+LATIN = re.compile(r"[A-Za-zÀ-ɏ'’]+ [A-Za-zÀ-ɏ'’]+ [a-zÀ-ɏ'’]+")
+WORDS = re.compile(r"\w+")
+
 
+def _scripts(text: str) -> str:
+    """A coarse class that costs no alignment: texts of one class may still differ in language."""
+    if KANA.search(text):
+        return "kana" + (" latin" if LATIN.search(text) else "")
+    found = [name for name, pattern in (("hangul", HANGUL), ("han", HAN), ("latin", LATIN)) if pattern.search(text)]
+    return " ".join(found)
 
-def _script(text: Column) -> Column:
-    """A coarse script class that costs no alignment: texts of one class may still differ in language."""
-    kana, hangul = text.rlike(r"[\x{3041}-\x{30FA}]{2}"), text.rlike(r"[\x{AC00}-\x{D7A3}]{2}")
-    han, latin = text.rlike(r"[\x{3400}-\x{9FFF}]{3}"), text.rlike(r"[A-Za-z\x{C0}-\x{24F}'’]+ [A-Za-z\x{C0}-\x{24F}'’]+ [a-z\x{C0}-\x{24F}'’]+")
-    mixed = F.concat_ws("+", F.when(kana, "kana"), F.when(hangul, "hangul"), F.when(han & ~kana, "han"), F.when(latin, "latin"))
-    return mixed
+
+def _may_copy(question: str, answer: str) -> bool:
+    """Whether a copy can't be ruled out: the answer is short, or holds the longest word of the question."""
+    if len(answer) <= 1.6 * len(question) + 12:
+        return True
+    if len(answer) > 8 * len(question) + 40:
+        return False
+    return max(WORDS.findall(question.lower()), key=len, default="\0") in answer.lower()
 
 
 def defects(pairs: DataFrame, cut: DataFrame, model: LanguageModel) -> DataFrame:
@@ -156,43 +166,37 @@ def defects(pairs: DataFrame, cut: DataFrame, model: LanguageModel) -> DataFrame
     is empty; without a question (null or blank) an answer can't copy it or differ in language.
     """
     keys = ["tbl", "rec_key", "turn"]
-    core = F.regexp_replace(F.coalesce("answer", F.lit("")), r"(?s)<think>.*?</think>", "")
-    held = pairs.withColumn("core", core).withColumn("question", F.coalesce("question", F.lit("")))
-    empty = F.col("core").rlike(PLACEHOLDER) | F.col("core").rlike(HEADING)
-    bare = lambda c: F.lower(F.regexp_replace(c, r"[^\p{L}\p{N}]+", ""))
-    held = held.withColumn("empty", empty).withColumn("_q", bare(F.col("question")))
-    short = F.length("core") <= F.length("question") * 4 + 40
-    held = held.withColumn("_a", F.when(short, bare(F.col("core"))))
-    pieces = [F.substring("_q", F.lit(at), F.lit(6)) if isinstance(at, int) else F.substring("_q", at, F.lit(6)) for at in (1, (F.length("_q") / 2).cast("int"), F.greatest(F.length("_q") - 5, F.lit(1)))]
-    copies = (F.length("_q") >= 4) & F.coalesce(F.contains("_a", pieces[0]) | F.contains("_a", pieces[1]) | F.contains("_a", pieces[2]), F.lit(False))
-    asked, said = _script(F.col("question")), _script(F.col("core"))
-    speaks = (asked != "") & (said != "") & ((asked != said) | (asked == "latin"))
-    refuses = F.col("core").rlike(CUE)
-    looked = held.select(*keys, "question", "core", "empty", copies.alias("copies"), refuses.alias("refuses"), speaks.alias("speaks"))
-    nothing = looked.filter("empty").select(*keys, F.lit("empty_answer").alias("defect"))
-    some = looked.filter(~F.col("empty") & (F.col("copies") | F.col("refuses") | F.col("speaks"))).drop("empty")
     sent = pairs.sparkSession.sparkContext.broadcast(model)  # bounded by its training sample
 
     def run(batches):
         for batch in batches:
-            question, answer = batch["question"].tolist(), batch["core"].tolist()
             found: list[tuple[int, str]] = []
-            for at in np.flatnonzero(batch["copies"].to_numpy()):
-                if is_copy(question[at], answer[at]):
-                    found.append((at, "copies_question"))
-            for at in np.flatnonzero(batch["refuses"].to_numpy()):
-                if is_refusal(answer[at]):
+            differ: list[tuple[int, str, str]] = []
+            for at, (question, answer) in enumerate(zip(batch["question"], batch["answer"])):
+                core = answer or ""
+                if "<think>" in core:
+                    core = THINK.sub("", core)
+                if EMPTY.fullmatch(core):
+                    found.append((at, "empty_answer"))
+                    continue
+                if is_refusal(core):
                     found.append((at, "refusal"))
-            speaks = np.flatnonzero(batch["speaks"].to_numpy())
-            segments = segment_languages(sent.value, [question[at] for at in speaks] + [answer[at] for at in speaks])
-            for place, at in enumerate(speaks):
+                if not question or question.isspace():
+                    continue
+                if _may_copy(question, core) and is_copy(question, core):
+                    found.append((at, "copies_question"))
+                asked, said = _scripts(question), _scripts(core)
+                if asked and said and (asked != said or asked == "latin"):
+                    differ.append((at, question, core))
+            segments = segment_languages(sent.value, [q for _, q, _ in differ] + [a for _, _, a in differ])
+            for place, (at, question, _) in enumerate(differ):
                 asked = {s[1] for s in segments[place]}
-                said = {s[1] for s in segments[place + len(speaks)]}
-                if asked and said and not asked & said and _asked_language(question[at]) not in said:
+                said = {s[1] for s in segments[place + len(differ)]}
+                if asked and said and not asked & said and _asked_language(question) not in said:
                     found.append((at, "other_language"))
             rows = batch[keys].iloc[[at for at, _ in found]].reset_index(drop=True)
             yield rows.assign(defect=pd.Series([name for _, name in found], dtype="object"))
 
-    aligned = some.mapInPandas(run, "tbl string, rec_key string, turn bigint, defect string")
+    aligned = pairs.select(*keys, "question", "answer").mapInPandas(run, "tbl string, rec_key string, turn bigint, defect string")
     broken = cut.select(*keys, F.lit("truncated_answer").alias("defect"))
-    return nothing.unionByName(aligned).unionByName(broken).distinct()
+    return aligned.unionByName(broken).distinct()
