@@ -35,11 +35,12 @@ def queue(pool: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     ``pool``: ``(mix_id, label, rec_id, size)``, a record once in each mix.  ``targets``: ``(mix_id, label,
     target_share, max_repeats, budget_ratio)``; labels without a target count in the pool's total but aren't mixed, null
-    sizes are 0.  Returns the documents with ``finished``, the running total of their source in hashed order, and one
+    sizes are 0, other columns are ignored.  Returns the documents with ``finished``, the running total of their source in hashed order, and one
     row per target: ``chars`` and ``available`` of its source, ``pool_chars``, ``budget`` and ``demanded``.  Targets
     without documents have 0 characters.
     """
-    sized = pool.withColumn("size", F.coalesce(F.col("size").cast("bigint"), F.lit(0)))
+    sized = pool.select("mix_id", "label", "rec_id", F.coalesce(F.col("size").cast("bigint"), F.lit(0)).alias("size"))
+    targets = targets.select("mix_id", "label", "target_share", "max_repeats", "budget_ratio")
     totals = sized.groupBy("mix_id").agg(F.sum("size").alias("pool_chars"))
     mixed = sized.join(F.broadcast(targets.select("mix_id", "label")), ["mix_id", "label"], "left_semi")
     mixed = mixed.withColumn("_hash", F.xxhash64(F.lit(SEED), "mix_id", "label", "rec_id"))
