@@ -149,7 +149,9 @@ def judge(texts: DataFrame) -> DataFrame:
     listed = F.col("lines") & F.col("line").rlike(LISTED) & ~(before.rlike(LISTED) & before.rlike(UNIT) & ~F.col("line").rlike(UNIT))
     labelled = F.col("lines") & F.col("line").rlike(LABELLED) & F.col("line").rlike(UNIT)
     closed = F.col("end_char").rlike(r"[）)》】」』”\"}\]>`]")
-    complete = listed | labelled | F.col("line").rlike(OPTION) | closed | F.col("_asked").isNotNull() | F.col("_closed").isNotNull()
+    # an answer may end like a question where it only repeats one, so not after a statement
+    asks = F.col("_asked").isNotNull() & ((F.col("role") == "user") | ~F.contains("trimmed", F.lit("。")))
+    complete = listed | labelled | F.col("line").rlike(OPTION) | closed | asks | F.col("_closed").isNotNull()
     known = known.withColumn("end_char", F.right("trimmed", F.lit(1)))
     evidence = F.when(F.coalesce(F.col("at"), F.lit(False)) & ~closed & ~F.col("_closed").isNotNull(), "limit").when(~complete, "clause")
     columns = ("tbl", "grp", "role", "rec_key", "turn")
