@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillsieve.operators.ranks import running_sum
+from quillsieve.operators.ranks import running_sum, scalars
 
 
 def _winner(df: DataFrame, key: Sequence[Column], best: Column) -> DataFrame:
@@ -51,7 +51,7 @@ def with_index(df: DataFrame, order: str, out: str, group: Sequence[str] = (), b
     """
     low = df.agg(F.min(order).alias("_low"), F.max(order).alias("_high"))
     width = F.greatest(F.ceil((F.col("_high") - F.col("_low") + 1) / buckets), F.lit(1))
-    cut = df.crossJoin(F.broadcast(low)).withColumn("_bucket", F.floor((F.col(order) - F.col("_low")) / width))
+    cut = df.select("*", *scalars(low)).withColumn("_bucket", F.floor((F.col(order) - F.col("_low")) / width))
     keys = list(group) or ["_one"]
     cut = cut if group else cut.withColumn("_one", F.lit(0))
     ranked = running_sum(cut, keys, "_bucket", [order], F.lit(1), out)

@@ -12,6 +12,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def scalars(df: DataFrame) -> list[Column]:
+    """The values of a frame of one row, as literals with their names: totals are read once instead of joined to all rows."""
+    row = df.first()
+    return [F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in df.schema]
+
+
 def running_sum(df: DataFrame, group: Sequence[str], bucket: str, order: Sequence[str], size: Column, out: str) -> DataFrame:
     """Adds ``out``: the sum of ``size`` over all rows of the group up to and including this one.
 

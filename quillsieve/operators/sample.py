@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillsieve.operators.ranks import scalars
+
 
 def hash01(key: Column) -> Column:
     """A number in [0, 1) from the first 64 bits of the SHA-256 of the key."""
@@ -36,7 +38,7 @@ def stratified_share(df: DataFrame, stratum: str, key: str, total: int, seed: in
     """About ``total`` rows in all, each stratum in proportion (rounded half to even)."""
     counts = df.groupBy(stratum).agg(F.count("*").alias("_n"))
     whole = counts.agg(F.sum("_n").alias("_all"))
-    quota = counts.crossJoin(F.broadcast(whole)).select(F.col(stratum).alias("_s"), F.bround(F.lit(total) * F.col("_n") / F.col("_all")).alias("_quota"))
+    quota = counts.select("*", *scalars(whole)).select(F.col(stratum).alias("_s"), F.bround(F.lit(total) * F.col("_n") / F.col("_all")).alias("_quota"))
     joined = df.join(quota, df[stratum].eqNullSafe(quota["_s"])).drop("_s")
     rank = F.row_number().over(Window.partitionBy(stratum).orderBy(hash_order(F.col(key), seed), key))
     return joined.withColumn("_rank", rank).filter(F.col("_rank") <= F.col("_quota")).drop("_rank", "_quota")
@@ -51,7 +53,7 @@ def drop_bottom(df: DataFrame, score: str, key: str, share: float) -> DataFrame:
     below = Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("_below", F.coalesce(F.sum("_n").over(below), F.lit(0)))
     whole = df.agg(F.floor(F.count("*") * share).alias("_drop"))
-    marked = df.join(counts, score).crossJoin(F.broadcast(whole))
+    marked = df.join(counts, score).select("*", *scalars(whole))
     whole_kept = F.col("_below") >= F.col("_drop")
     edge = marked.filter(~whole_kept & (F.col("_below") + F.col("_n") > F.col("_drop")))
     rank = F.row_number().over(Window.partitionBy(score).orderBy(key))

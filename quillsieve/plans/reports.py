@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quillsieve.functions import text as X
 from quillsieve.operators import joins as J
 from quillsieve.operators import order as O
+from quillsieve.operators.ranks import scalars
 from quillsieve.operators.report import bucketed, percentiles_by_index
 from quillsieve.session import table
 
@@ -100,7 +101,7 @@ FROM (SELECT category, list(output_tokens ORDER BY output_tokens) AS l, max(outp
 def share_of_total(spark, folder):
     rows = _docs(spark, folder, "category").groupBy("category").agg(F.count("*").alias("documents"))
     whole = rows.agg(F.sum("documents").alias("_all"))
-    return rows.crossJoin(F.broadcast(whole)).select("category", "documents", F.round(100 * F.col("documents") / F.col("_all"), 6).alias("percent"))
+    return rows.select("*", *scalars(whole)).select("category", "documents", F.round(100 * F.col("documents") / F.col("_all"), 6).alias("percent"))
 
 
 def distinct_names(spark, folder):
@@ -112,7 +113,7 @@ def cap_recommend(spark, folder):
     rows = _answers(spark, folder).filter(F.col("output_tokens").isNotNull())
     p = percentiles_by_index(rows.withColumn("g", F.lit(1)), "g", "output_tokens", (0.99,)).select("p99")
     need = F.greatest(F.floor(F.col("p99") * 1.15), F.col("most") + 256)
-    return p.crossJoin(rows.agg(F.max("output_tokens").alias("most"))).select((F.ceil(need / 256) * 256).alias("cap"))
+    return p.select("*", *scalars(rows.agg(F.max("output_tokens").alias("most")))).select((F.ceil(need / 256) * 256).alias("cap"))
 
 
 CAP_SQL = f"""SELECT (ceil(greatest(floor(l[least(floor(len(l) * 0.99)::INT, len(l) - 1) + 1] * 1.15::DOUBLE), l[-1] + 256) / 256) * 256)::BIGINT AS cap

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillsieve.functions import text as X
+from quillsieve.operators.ranks import scalars
 from quillsieve.operators.report import first_reason
 from quillsieve.session import table
 
@@ -120,7 +121,7 @@ def truncation_split(spark, folder):
     rows = _answers(spark, folder)
     has_thinking = rows.agg(F.bool_or(F.col("thinking").isNotNull()).alias("has"))
     cap = rows.groupBy("teacher").agg(F.max("output_tokens").alias("cap"))
-    marked = rows.crossJoin(F.broadcast(has_thinking)).join(cap, "teacher")
+    marked = rows.select("*", *scalars(has_thinking)).join(cap, "teacher")
     empty = F.col("has") & (F.coalesce(F.trim("thinking"), F.lit("")) == "") & (F.length("chosen") > 500)
     capped = F.col("output_tokens") >= F.col("cap") - 5
     return marked.select("id", "teacher", F.coalesce(first_reason(("A_empty_think_long", empty), ("tokens_capped", capped)), F.lit("clean")).alias("part"))
