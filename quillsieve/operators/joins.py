@@ -33,12 +33,15 @@ def contained_terms(texts: DataFrame, key: str, text: str, terms: DataFrame, ter
     """Pairs ``(key, term)`` where the text contains the term, without comparing all pairs.
 
     Terms are joined on their first ``shortest`` characters with the pieces of the texts that long; what is joined is then
-    compared whole.  Terms shorter than that aren't found.
+    compared whole.  Terms shorter than that aren't found; ``key`` must be unique.
     """
-    pieces = F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - shortest + 1, F.lit(1))), lambda at: F.substring(F.col(text), at, F.lit(shortest)))
-    cut = texts.select(key, F.col(text).alias("_text"), F.explode(F.array_distinct(pieces)).alias("_piece"))
+    # characters as an array: a substring of a UTF-8 string would be counted from its start each time
+    chars = texts.select(key, F.split(text, "").alias("_chars"))
+    pieces = F.transform("_chars", lambda c, at: F.concat(c, *[F.coalesce(F.get("_chars", at + k), F.lit("")) for k in range(1, shortest)]))
+    cut = chars.select(key, F.explode(F.array_distinct(pieces)).alias("_piece"))
     own = terms.select(F.col(term).alias("term"), F.left(F.col(term), F.lit(shortest)).alias("_piece")).filter(F.length("term") >= shortest).distinct()
-    return cut.join(own, "_piece").filter(F.contains("_text", F.col("term"))).select(key, "term").distinct()
+    near = cut.join(own, "_piece").select(key, "term").distinct().join(texts.select(key, F.col(text).alias("_text")), key)
+    return near.filter(F.contains("_text", F.col("term"))).select(key, "term")
 
 
 def update_join(left: DataFrame, right: DataFrame, key: str, fields: list[str]) -> DataFrame:

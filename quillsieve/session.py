@@ -51,6 +51,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scanned frame with at least as many partitions as there are cores, for work that is heavy per row.
+
+    Small inputs in few files are shuffled for that; inputs with more partitions than cores are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Let the Python workers of every executor import this package, wherever they run; once per application."""
     context = spark.sparkContext
