@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillsieve.session import spread
+
 TERM = 3  # tokens in an index term
 K1, B = 1.2, 0.4
 #: Share of an item's own score that a passage must reach to be retrieved.
@@ -173,7 +175,7 @@ def find_leaks(docs: DataFrame, key: str, text: str, items: DataFrame) -> DataFr
     table = simplified(spark)
     listed = [(r["item_id"], r["text"]) for r in items.filter(F.col("text").isNotNull()).orderBy("item_id", "text").collect()]
     listed = [(name, t) for name, t in listed if len(tokens(t, table)) >= 2 * TERM]
-    slim = docs.select(key, text).filter(F.length(text) > 0)
+    slim = spread(docs.select(key, text).filter(F.length(text) > 0))
     kind = slim.schema[key].dataType.simpleString()
     found = spark.createDataFrame([], f"`{key}` {kind}, item_id string, spanned double, same double")
     for at in range(0, len(listed), INDEX_ITEMS):
