@@ -98,7 +98,7 @@ class LanguageModel:
     def __init__(self, samples: dict[str, list[str]]):
         self.languages = sorted(samples)
         count = len(self.languages)
-        laid = [_layout([s.encode() for s in samples[name]]) for name in self.languages]
+        laid = [_layout([s.lower().encode() for s in samples[name]]) for name in self.languages]
         self.tables: list[_Table] = []
         self.values: list[np.ndarray] = []
         self.contexts: list[_Table | None] = []
@@ -134,7 +134,7 @@ class LanguageModel:
     def code_lengths(self, texts: list[str]) -> np.ndarray:
         """Bits to code each text in each language, an array of texts by languages."""
         out = np.zeros((len(texts), len(self.languages)))
-        coded = [t.encode("utf-8", "replace") for t in texts]
+        coded = [t.lower().encode("utf-8", "replace") for t in texts]  # capitals say nothing about the language
         begin, room = 0, 0
         for at in range(len(coded) + 1):
             if at == len(coded) or room > 1 << 18:
@@ -207,6 +207,8 @@ def is_running(sentence: str) -> bool:
     if east >= 4:
         return True
     words = LATIN_WORD.findall(sentence)
+    if sentence.isupper():
+        return len(words) >= 4
     return len(words) >= 3 and sum(map(len, words)) >= 8 and sum(w[:1].islower() for w in words) >= 2
 
 
