@@ -92,12 +92,28 @@ def _layout(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return data, places[keep], np.cumsum(sizes) - sizes
 
 
+SCRIPTS = (re.compile(r"[぀-ヿ]"), re.compile(r"[가-힣]"), re.compile(r"[㐀-鿿]"), re.compile(r"[A-Za-zÀ-ɏ]"))
+#: Share of a language's training sentences that must be in a script for texts in that script to be in the language.
+SCRIPT_SHARE = 0.05
+
+
+def script_of(text: str) -> int:
+    """The script that most of a text is in: 0 kana (also where it is a tenth beside Han), 1 Hangul, 2 Han, 3 Latin."""
+    kana, hangul, han, latin = (len(pattern.findall(text)) for pattern in SCRIPTS)
+    if kana > 0.1 * (kana + han):
+        han, kana = 0, kana + han
+    counts = (kana, hangul, han, latin // 3)  # a character of the others says as much as three letters
+    return counts.index(max(counts))
+
+
 class LanguageModel:
     """Frozen byte statistics of several languages; scores whole arrays of texts."""
 
     def __init__(self, samples: dict[str, list[str]]):
         self.languages = sorted(samples)
         count = len(self.languages)
+        written = np.array([np.bincount([script_of(s) for s in samples[name]], minlength=4) for name in self.languages])
+        self.possible = written >= SCRIPT_SHARE * written.sum(axis=1, keepdims=True)  # languages by scripts
         laid = [_layout([s.lower().encode() for s in samples[name]]) for name in self.languages]
         self.tables: list[_Table] = []
         self.values: list[np.ndarray] = []
@@ -171,6 +187,9 @@ class LanguageModel:
         if not texts:
             return [], np.zeros(0), np.zeros(0)
         bits = self.code_lengths(texts)
+        possible = self.possible[:, [script_of(t) for t in texts]].T
+        possible[~possible.any(axis=1)] = True
+        bits = np.where(possible, bits, bits + 1e6)
         best = bits.argmin(axis=1)
         ordered = np.sort(bits, axis=1)
         margin = ordered[:, 1] - ordered[:, 0] if bits.shape[1] > 1 else np.full(len(texts), 99.0)
