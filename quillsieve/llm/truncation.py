@@ -6,7 +6,7 @@ ASCII, with CR LF line ends); where the texts of a source pile up at the largest
 hidden limit, and unfinished texts at it were cut there.  *Endings*: the end of each text is inspected for characters cut in
 half, open tags, entities and brackets, marks that stand for missing text, and clauses without a stop.  Finished texts
 without a stop are known from the corpus itself: question tails from texts that do end in a stop, closing lines from how
-often a line ends a text against how often its beginning starts one.
+often a line ends a text against how often it is the beginning of a longer line.
 
 All of it is DataFrame expressions; no Python touches the texts.
 """
@@ -38,6 +38,10 @@ LIMIT_TEXTS = 5
 LIMIT_FACTOR = 8
 #: Lengths looked at below the largest one.
 LIMIT_WINDOW = 40
+#: Records that a line must end to be known as a closing line, and its fewest characters.
+CLOSES, CLOSING_SIZE = 3, 3
+#: Lengths of the beginnings that closing lines and longer lines are joined on.
+BEGINNINGS = (CLOSING_SIZE, 6, 12, 24, 48, 96, 192)
 
 
 def _count(text: Column, chars: str) -> Column:
@@ -97,7 +101,6 @@ def inspected(texts: DataFrame) -> DataFrame:
         "trimmed",
         F.when(~filled, "filled in").when(cut, "cut").when(F.col("end").rlike(FINISHED), "stop").otherwise("open").alias("ending"),
         _tail(F.col("trimmed")).alias("tail"),
-        F.regexp_replace(F.left(F.regexp_replace("trimmed", r"^(?s:<think>.*</think>)[\s\p{Z}]*", ""), F.lit(3)), r"\d", "0").alias("head"),
         line.alias("line"),
         F.contains(F.col("trimmed"), F.lit("\n")).alias("lines"),
     )
@@ -125,6 +128,34 @@ def limits(states: DataFrame) -> DataFrame:
     return piled.withColumn("_best", best).filter("_best = 1").select("tbl", "grp", "role", "encoding", F.col("top").alias("size_limit"), "at_limit")
 
 
+def _masked(text: Column) -> Column:
+    return F.translate(text, "0123456789", "0000000000")
+
+
+def closing_lines(states: DataFrame) -> DataFrame:
+    """Rows ``(_line, _closed)``: last lines, digits as 0, that are known to end a text without a stop, and their records.
+
+    A line that was cut is the beginning of longer lines far more often than it ends a text, however many texts there
+    are, so a closing line ends at least half as many records as have a longer line that begins with it.  Records
+    delivered again count once.
+    """
+    record = F.xxhash64("tbl", "rec_key", "turn")
+    last = states.filter((F.col("ending") == "open") & F.col("lines")).select(_masked(_last_line(F.col("trimmed"))).alias("_line"), record.alias("_record"))
+    ends = last.filter(F.length("_line") >= CLOSING_SIZE).groupBy("_line").agg(F.count_distinct("_record").alias("_closed"))
+    ends = cut_lineage(ends.filter(F.col("_closed") >= CLOSES))  # a small table of known size
+    known = [F.when(F.length("_line") >= n, F.left("_line", F.lit(n))) for n in BEGINNINGS]
+    keyed = ends.withColumn("_key", F.coalesce(*reversed(known)))
+    lines = states.select(record.alias("_record"), F.explode(F.split("trimmed", "\n")).alias("_text"))
+    heads = ends.select(F.left("_line", F.lit(CLOSING_SIZE)).alias("_head")).distinct()
+    lines = lines.join(heads, _masked(F.left("_text", F.lit(CLOSING_SIZE))) == F.col("_head"), "left_semi")
+    lines = lines.withColumn("_text", _masked(F.regexp_replace("_text", r"[\s\p{Z}]+$", "")))
+    keys = F.array_distinct(F.array(*[F.left("_text", F.lit(n)) for n in BEGINNINGS]))
+    longer = lines.select("_record", "_text", F.explode(keys).alias("_key")).join(keyed.select("_key", "_line"), "_key")
+    longer = longer.filter(F.startswith("_text", F.col("_line")) & (F.length("_text") > F.length("_line")))
+    begun = longer.groupBy("_line").agg(F.count_distinct("_record").alias("_begun"))
+    return ends.join(begun, "_line", "left").filter(F.col("_closed") * 2 >= F.coalesce("_begun", F.lit(0))).select("_line", "_closed")
+
+
 def judge(texts: DataFrame) -> DataFrame:
     """Rows ``(tbl, grp, role, rec_key, turn, evidence)`` of the texts that break off.
 
@@ -135,13 +166,11 @@ def judge(texts: DataFrame) -> DataFrame:
     states = cut_lineage(inspected(texts))
     open_ = states.filter(F.col("ending") == "open")
     tails = states.filter((F.col("ending") == "stop") & (F.col("role") == "user")).groupBy("tail").agg(F.count("*").alias("_asked"))
-    heads = states.groupBy("head").agg(F.count("*").alias("_begun"))
-    masked = F.regexp_replace("line", r"\d", "0")
-    closing = open_.filter("lines").groupBy(masked.alias("_line")).agg(F.count("*").alias("_closed"))
-    closing = closing.join(heads.withColumnRenamed("head", "_head"), F.left(F.col("_line"), F.lit(3)) == F.col("_head"), "left")
-    closing = closing.filter((F.col("_closed") >= 3) & (F.col("_closed") * 2 >= F.coalesce(F.col("_begun"), F.lit(0)))).select("_line", "_closed")
-    known = open_.join(tails, "tail", "left").join(closing, masked == F.col("_line"), "left")
-    found = limits(states)
+    closing = cut_lineage(closing_lines(states))
+    ends_so = _masked(_last_line(F.col("trimmed"))) == F.col("_line")
+    known = open_.join(tails, "tail", "left").join(closing, ends_so, "left")
+    # closing lines alone make no limit, but a limit that others show holds for them too
+    found = limits(states.filter(F.col("ending").isin("open", "cut")).join(closing, ends_so, "left_anti"))
     sizes = encoded_lengths(F.col("trimmed"))
     size = F.coalesce(*[F.when(F.col("encoding") == k, v) for k, v in sizes.items()])
     known = known.join(found, ["tbl", "grp", "role"], "left").withColumn("at", size >= F.col("size_limit"))
@@ -153,7 +182,7 @@ def judge(texts: DataFrame) -> DataFrame:
     asks = F.col("_asked").isNotNull() & ((F.col("role") == "user") | ~F.contains("trimmed", F.lit("。")))
     complete = listed | labelled | F.col("line").rlike(OPTION) | closed | asks | F.col("_closed").isNotNull()
     known = known.withColumn("end_char", F.right("trimmed", F.lit(1)))
-    evidence = F.when(F.coalesce(F.col("at"), F.lit(False)) & ~closed & ~F.col("_closed").isNotNull(), "limit").when(~complete, "clause")
+    evidence = F.when(F.coalesce(F.col("at"), F.lit(False)) & ~closed, "limit").when(~complete, "clause")
     columns = ("tbl", "grp", "role", "rec_key", "turn")
     judged = known.select(*columns, evidence.alias("evidence")).filter(F.col("evidence").isNotNull())
     torn = states.filter(F.col("ending") == "cut").select(*columns, F.lit("mark").alias("evidence"))

@@ -51,6 +51,23 @@ def test_endings(spark):
     assert judge(_texts(spark).limit(0)).count() == 0
 
 
+def test_cut_lines_that_recur_are_no_closing_lines(spark):
+    rows = [("t", "s", "assistant", f"w{i}", 1, "复查" * i + f"正常。\n（详见苏叶丹条下）\n同时应当复查。\n组成：柴胡。\n祝早日康复") for i in range(40)]
+    for k, end in enumerate(("（详见苏叶", "同时", "组", "同时应当")):
+        rows += [("t", "s", "assistant", f"cut{k}-{i}", 1, "复查" * i + f"正常。\n{end}") for i in range(6)]
+    rows += [("t", "s", "assistant", "cut-again", 1, "复查正常。\n服药期间应先停用再")] * 4
+    found = {r.rec_key for r in judge(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert found == {f"cut{k}-{i}" for k in range(4) for i in range(6)} | {"cut-again"}
+
+
+def test_a_limit_outranks_a_closing_line(spark):
+    rows = [("t", "free", "assistant", f"w{i}", 1, f"第{i}次复查正常。\n祝早日康复") for i in range(9)]
+    rows += [("t", "tight", "assistant", f"c{i}", 1, ("药方剂量复查肝肾" * 9)[i : i + 60]) for i in range(8)]
+    rows += [("t", "tight", "assistant", "at", 1, "药" * 53 + "。\n祝早日康复"), ("t", "tight", "assistant", "below", 1, "药" * 40 + "。\n祝早日康复")]
+    found = {r.rec_key: r.evidence for r in judge(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert found == {f"c{i}": "limit" for i in range(8)} | {"at": "limit"}
+
+
 @pytest.mark.parametrize("encoding, size", [("characters", 60), ("utf8_bytes", 120), ("entity_characters", 60), ("json_ascii", 150)])
 def test_hidden_limits(spark, encoding, size):
     rng = random.Random(3)
