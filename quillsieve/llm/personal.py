@@ -37,21 +37,25 @@ ALLOWED = np.array([[not b.startswith("I-") or a[2:] == b[2:] and a != "O" for b
 H = "[㐀-鿿]"
 CN = "〇零一二三四五六七八九"
 # The forms that each kind can have.  Digits of full width have been made plain.
-EMAIL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._+-]* ?(?:@|＠|\[at\]|\(at\)| AT ) ?[A-Za-z0-9-]+(?:(?:\.| DOT | ?\[dot\] ?)[A-Za-z0-9-]+)+")
+AT = r"@|＠|\[at\]|\(at\)| AT "
+EMAIL = re.compile(rf"[A-Za-z0-9][A-Za-z0-9._+-]* ?(?:{AT}) ?[A-Za-z0-9-]+(?:(?:\.| DOT | ?\[dot\] ?)[A-Za-z0-9-]+)+")
+SEP = r"[-\s.．·‐‑–—]"
 PHONE = re.compile(
-    rf"(?:[(（][+＋]\s?86[)）][-\s]?|[+＋]\s?86[-\s]?)?(?<!\d)1[3-9]\d(?:[-\s]?\d{{4}}){{2}}(?![\d])"
+    rf"(?:[(（][+＋]\s?86[)）]{SEP}?|[+＋]\s?86{SEP}?|(?<!\d)(?<!\d\.))1[3-9]\d(?:{SEP}?\d{{4}}){{2}}(?!\.?\d)"
     rf"|(?<![{CN}])一[{CN}]{{10}}(?![{CN}])"
-    r"|[(（]0\d{2,3}[)）][-\s]?\d{3,4}[-\s]?\d{4}(?!\d)|(?<!\d)0\d{2,3}-\d{3,4}[-\s]?\d{4}(?!\d)"
-    r"|(?:\+1[-\s]?)?(?:\(\d{3}\)\s?|(?<!\d)\d{3}[-\s])\d{3}[-\s]\d{4}(?!\d)"
+    rf"|[(（]0\d{{2,3}}[)）]{SEP}?\d{{3,4}}{SEP}?\d{{4}}(?!\.?\d)|(?<!\d)(?<!\d\.)0\d{{2,3}}{SEP}\d{{3,4}}{SEP}?\d{{4}}(?!\.?\d)"
+    rf"|(?:\+1{SEP}?(?:\(\d{{3}}\){SEP}?|\d{{3}}{SEP})|\(\d{{3}}\){SEP}?|(?<!\d)(?<!\d\.)\d{{3}}{SEP})\d{{3}}{SEP}\d{{4}}(?!\.?\d)"
 )
 IDENTITY = re.compile(
     r"(?<!\d)\d{6}\s?(?:19|20)\d{2}(?:0[1-9]|1[0-2])(?:0[1-9]|[12]\d|3[01])\s?\d{3}[\dXxＸｘ](?!\d)"
     r"|(?<!\d)\d{8}(?:0[1-9]|1[0-2])(?:0[1-9]|[12]\d|3[01])\d{3}(?!\d)"
     r"|(?<![A-Za-z\d])[A-Z]{1,2}\d{7,8}(?!\d)|(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 )
-ROAD = rf"{H}{{2,4}}(?:路|街|巷|道|胡同)(?:\d+弄)?\d+号?(?:\d+(?:栋|幢|号楼))?(?:\d+单元)?(?:\d+(?:室|户))?"
-ESTATE = rf"{H}{{2,4}}(?:小区|花园|新村|里|苑|家园|公寓)(?:\d+(?:-\d+){{1,2}}|\d+(?:栋|幢|号楼)(?:\d+单元)?\d*(?:室)?)"
-VILLAGE = rf"{H}{{2,3}}(?:镇|乡){H}{{2,4}}村(?:[一二三四五六七八九十\d]+组)?(?:\d+号)?"
+ROADS, ESTATES = "路|街|巷|道|胡同", "小区|花园|新村|里|苑|家园|公寓"
+ROAD = rf"{H}{{2,4}}(?:{ROADS})(?:\d+弄)?\d+号?(?:\d+(?:栋|幢|号楼))?(?:\d+单元)?(?:\d+(?:室|户))?"
+ESTATE = rf"{H}{{2,4}}(?:{ESTATES})(?:\d+(?:-\d+){{1,2}}|\d+(?:栋|幢|号楼)(?:\d+单元)?\d*(?:室)?)"
+IN_TOWN = rf"(?:镇|乡){H}{{2,4}}村"
+VILLAGE = rf"{H}{{2,3}}{IN_TOWN}(?:[一二三四五六七八九十\d]+组)?(?:\d+号)?"
 REGION = rf"(?:{H}{{2,4}}(?:省|自治区))?(?:{H}{{2,3}}市)?(?:{H}{{2,3}}(?:区|县))?"
 ADDRESS = re.compile(rf"{REGION}(?:{ROAD}|{ESTATE}|{VILLAGE})")
 ADDRESS_TAIL = re.compile(rf"(?:{ROAD}|{ESTATE}|{VILLAGE})")
@@ -82,9 +86,10 @@ CUE_BEFORE = {
 }
 TOKEN = re.compile(r"[A-Za-zÀ-ɏ]+|\d+|\s+|.", re.S)
 SENTENCE = re.compile(r"[^。！？!?\n]*[。！？!?\n]?")
+# Built from the forms, so that each sentence that holds a form is tagged.
 TRIGGER = re.compile(
-    rf"\d{{5}}|\d{{3}}[-\s）)]\s?\d{{3,4}}|@|＠|\[at\]|\(at\)| AT |[{CN}]{{9}}|(?:路|街|巷|道|小区|花园|新村|里|苑|组)\d|村[一二三四五六七八九十]+组|\d [A-Z][a-z]+ [A-Z]"
-    r"|[A-Z][a-z]+,? [A-Z][a-z]+|[A-Z]\. ?[A-Z][a-z]"
+    rf"\d{{5}}|\d{{3}}[-\s）)]\s?\d{{3,4}}|{AT}|[{CN}]{{9}}|(?:{ROADS}|{ESTATES}|组)\d|{IN_TOWN}|村[一二三四五六七八九十]+组|\d [A-Z][a-z]+ [A-Z]"
+    rf"|{WESTERN_NAME.pattern}|{WESTERN_ADDRESS.pattern}|{PHONE.pattern}|{IDENTITY.pattern}"
 )
 PLAIN = {ord(a): b for a, b in zip("０１２３４５６７８９", "0123456789")}
 

@@ -108,3 +108,18 @@ def test_forms():
     place = "现住澄南省溪岑市长芦路879号22栋411室，"
     assert checked(place, 2, 10, "address", (0, len(place))) == (2, len(place) - 1)
     assert checked("国药准字Z20983591", 4, 13, "phone", (0, 13)) is None
+
+
+def test_phone_separators_and_triggers():
+    from quillsieve.llm.personal import ADDRESS_TAIL, IDENTITY, PHONE, TRIGGER, cut_sentences
+
+    for said in ("209.555.0160", "+1.209.555.0160", "(209).555.0160", "138.1234.5678", "138·1234·5678", "0571.8888.1234", "209–555–0160"):
+        text = f"Please call {said}."
+        at = text.index(said)
+        assert cut_sentences(text, TRIGGER), said
+        assert checked(text, at, at + len(said), "phone", (0, len(text))) == (at, at + len(said)), said
+        assert (at, at + len(said), "phone") in cue_spans(text), said
+    for other in ("0.13812345678", "1.209.555.0160", "209.555.0160.5", "v192.168.10.24"):
+        assert not PHONE.search(other), other
+    for form, said in ((ADDRESS_TAIL, "柳荫胡同5号"), (ADDRESS_TAIL, "安居家园3-2"), (ADDRESS_TAIL, "和平公寓7栋"), (ADDRESS_TAIL, "青山镇柳树村8号"), (ADDRESS_TAIL, "青山镇柳树村"), (IDENTITY, "123-45-6789")):
+        assert form.search(said) and TRIGGER.search(said), said
