@@ -219,6 +219,13 @@ def band_join(spark, folder):
     return J.band_join(meds, near, "a", "b", 2).select("a", "b")
 
 
+def band_join_all(spark, folder):
+    """The band join of all parts, whatever their size."""
+    parts = table(spark, folder, "part").select(F.col("p_partkey").alias("a"))
+    near = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("b"))
+    return J.band_join(parts, near, "a", "b", 2).select("a", "b")
+
+
 def substr_join(spark, folder):
     names = table(spark, folder, "herb_names").select("herb")
     return J.contained_terms(_docs(spark, folder), "doc_id", "text", names, "herb", 2).groupBy("term").agg(F.count("*").alias("documents"))
@@ -323,6 +330,7 @@ QUERIES = {
     "sort_case": (sort_case, SORT_SQL),
     "asof_chapter": (asof_chapter, ASOF_SQL),
     "band_join": (band_join, "SELECT p_partkey AS a, s_suppkey AS b FROM part JOIN supplier ON abs(p_partkey - s_suppkey) <= 2 WHERE p_size = 50"),
+    "band_join_all": (band_join_all, "SELECT p_partkey AS a, s_suppkey AS b FROM part JOIN supplier ON abs(p_partkey - s_suppkey) <= 2"),
     "substr_join": (substr_join, SUBSTR_SQL),
     "update_join": (update_join, UPDATE_SQL),
     "extend_to_n": (extend_to_n, "SELECT p_partkey FROM part ORDER BY p_size < 45, p_partkey LIMIT 400"),
