@@ -59,3 +59,17 @@ def drop_bottom(df: DataFrame, score: str, key: str, share: float) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy(score).orderBy(key))
     edge = edge.withColumn("_rank", rank).filter(F.col("_below") + F.col("_rank") > F.col("_drop")).drop("_rank")
     return marked.filter(whole_kept).unionByName(edge).drop("_n", "_below", "_drop")
+
+
+def bounded_rows(df: DataFrame, column: str, most: int, rows: int) -> DataFrame:
+    """At most ``most`` different values of ``column``, those with the least hashes; ``rows``: how many rows there are.
+
+    Only rows below a hash threshold that lets about twice ``most`` of ``rows`` through are compared at all, so what is
+    shuffled and ordered is bounded, however large the table is; repeated values combine before the shuffle.  Nulls
+    don't count.
+    """
+    span = 1 << 31
+    below = min(span, -(-2 * most * span // max(rows, 1)))
+    hashed = F.xxhash64(column)
+    picked = df.select(column).filter(F.col(column).isNotNull() & (F.pmod(hashed, F.lit(span)) < below)).distinct()
+    return picked.orderBy(F.pmod(hashed, F.lit(span)), hashed, column).limit(most)

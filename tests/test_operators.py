@@ -97,3 +97,14 @@ def test_percentiles_and_labels(spark):
     assert got == {"a": (10, own[5], own[9]), "b": (1, 4, 4)}
     labels = df.select(bucketed(F.col("v"), (3, 8)).alias("l"), first_reason(("low", F.col("v") < 3), ("odd", F.col("v") % 2 == 1)).alias("r")).collect()
     assert {(r.l, r.r) for r in labels} == {("3-7", "odd"), ("<3", "low"), (">=8", "odd"), (">=8", None), ("3-7", None)}
+
+
+def test_bounded_rows(spark):
+    from quillsieve.operators.sample import bounded_rows
+
+    df = spark.createDataFrame([(f"t{k % 500}" if k % 3 else "hot",) for k in range(3000)] + [(None,)], "t string")
+    picked = sorted(r.t for r in bounded_rows(df, "t", 40, 3001).collect())
+    assert 0 < len(picked) == len(set(picked)) <= 40 and None not in picked
+    assert picked == sorted(r.t for r in bounded_rows(df.repartition(9), "t", 40, 3001).collect())
+    assert bounded_rows(df, "t", 5000, 3001).count() == df.filter("t is not null").distinct().count()
+    assert bounded_rows(df.limit(0), "t", 5, 0).count() == 0
