@@ -10,6 +10,8 @@ the confidence.  All languages share one table per order, so a byte costs one lo
 from __future__ import annotations
 
 import re
+import unicodedata
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -20,6 +22,8 @@ from pyspark.sql import functions as F
 ORDER = 5
 #: Most training sentences taken of one language.
 TRAIN_SENTENCES = 2500
+#: Longest training sentence in characters; longer ones aren't trained on.
+LONGEST = 600
 #: A training sentence is dropped if another language saves more bits than this.
 DISPUTED_BITS = 10
 PAD = b"\n" * ORDER
@@ -92,18 +96,45 @@ def _layout(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return data, places[keep], np.cumsum(sizes) - sizes
 
 
-SCRIPTS = (re.compile(r"[぀-ヿ]"), re.compile(r"[가-힣]"), re.compile(r"[㐀-鿿]"), re.compile(r"[A-Za-zÀ-ɏ]"))
 #: Share of a language's training sentences that must be in a script for texts in that script to be in the language.
 SCRIPT_SHARE = 0.05
+#: The language of segments in a script that no language of the model is written in, and its confidence.
+UNKNOWN, UNKNOWN_SURE = "unknown", 0.0
+_TABLED = 0x30000
+NOTHING, KANA, HANGUL, HAN, LATIN = range(5)
+
+
+@lru_cache(maxsize=1)
+def _scripts() -> np.ndarray:
+    """The script of each letter, by the first word of its Unicode name; 0 for what isn't a letter."""
+    out = np.zeros(_TABLED, dtype=np.uint8)
+    known = {"HIRAGANA": KANA, "KATAKANA": KANA, "KATAKANA-HIRAGANA": KANA, "HALFWIDTH": KANA, "HANGUL": HANGUL, "CJK": HAN, "LATIN": LATIN}
+    for code in range(_TABLED):
+        char = chr(code)
+        if char.isalpha() or unicodedata.category(char)[0] == "M":
+            name = unicodedata.name(char, "").split(" ")[0]
+            if char.isalpha() or name in known:
+                out[code] = known.setdefault(name, min(len(set(known.values())) + 1, 255))
+    return out
 
 
-def script_of(text: str) -> int:
-    """The script that most of a text is in: 0 kana (also where it is a tenth beside Han), 1 Hangul, 2 Han, 3 Latin."""
-    kana, hangul, han, latin = (len(pattern.findall(text)) for pattern in SCRIPTS)
-    if kana > 0.1 * (kana + han):
-        han, kana = 0, kana + han
-    counts = (kana, hangul, han, latin // 3)  # a character of the others says as much as three letters
-    return counts.index(max(counts))
+def scripts_of(texts: list[str]) -> np.ndarray:
+    """The script that most of each text is in: kana also where it is a tenth beside Han; a letter of an alphabet says a third as much."""
+    if not texts:
+        return np.zeros(0, dtype=np.int64)
+    joined = "".join(texts)
+    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    script = _scripts()[np.minimum(codes, _TABLED - 1)].astype(np.int64)
+    owner = np.repeat(np.arange(len(texts)), np.fromiter((len(t) for t in texts), dtype=np.int64, count=len(texts)))
+    width = int(script.max()) + 1 if len(script) else 1
+    width = max(width, LATIN + 1)
+    counts = np.bincount(owner * width + script, minlength=len(texts) * width).reshape(len(texts), width)
+    counts[:, NOTHING] = 0
+    japanese = counts[:, KANA] > 0.1 * (counts[:, KANA] + counts[:, HAN])
+    counts[japanese, KANA] += counts[japanese, HAN]
+    counts[japanese, HAN] = 0
+    counts[:, LATIN:] //= 3
+    return np.where(counts.any(axis=1), counts.argmax(axis=1), LATIN)
 
 
 class LanguageModel:
@@ -112,7 +143,7 @@ class LanguageModel:
     def __init__(self, samples: dict[str, list[str]]):
         self.languages = sorted(samples)
         count = len(self.languages)
-        written = np.array([np.bincount([script_of(s) for s in samples[name]], minlength=4) for name in self.languages])
+        written = np.array([np.bincount(scripts_of(samples[name]), minlength=256) for name in self.languages])
         self.possible = written >= SCRIPT_SHARE * written.sum(axis=1, keepdims=True)  # languages by scripts
         laid = [_layout([s.lower().encode() for s in samples[name]]) for name in self.languages]
         self.tables: list[_Table] = []
@@ -183,25 +214,33 @@ class LanguageModel:
         return -sums
 
     def classify(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """The language of each text, its probability, and the bits by which it beats the next language."""
+        """The language of each text, its probability, and the bits by which it beats the next language.
+
+        A text in a script that none of the languages is written in is ``UNKNOWN``.
+        """
         if not texts:
             return [], np.zeros(0), np.zeros(0)
         bits = self.code_lengths(texts)
-        possible = self.possible[:, [script_of(t) for t in texts]].T
-        possible[~possible.any(axis=1)] = True
+        possible = self.possible[:, scripts_of(texts)].T
+        foreign = ~possible.any(axis=1)
+        possible[foreign] = True
         bits = np.where(possible, bits, bits + 1e6)
         best = bits.argmin(axis=1)
         ordered = np.sort(bits, axis=1)
         margin = ordered[:, 1] - ordered[:, 0] if bits.shape[1] > 1 else np.full(len(texts), 99.0)
         scaled = np.exp2(-np.minimum(bits - ordered[:, :1], 500))
-        return [self.languages[i] for i in best], 1 / scaled.sum(axis=1), margin
+        names = [UNKNOWN if f else self.languages[i] for i, f in zip(best, foreign)]
+        return names, np.where(foreign, UNKNOWN_SURE, 1 / scaled.sum(axis=1)), margin
 
 
 # Sentence ends and what isn't running text.
 SENTENCE = re.compile(r"[^。！？!?\n.]*(?:[。！？!?]+|\n+|\.(?!\S)\s*|\.(?=[^\x00-\x7f])|\.|$)")
 MARKUP = re.compile(r"</?think>|```\w*|[*#>`_|{}\[\]\"]+|&\w{0,6};?|</?\w*>?")
+WORD = re.compile(r"[^\W\d_](?:[^\W\d_]|[\u0300-\u036f\u0900-\u0dff\u0e00-\u0eff'’])*")
 LATIN_WORD = re.compile(r"[A-Za-zÀ-ÿ'’]{1,}")
-EAST_ASIAN = re.compile(r"[぀-ヿ㐀-鿿가-힯]")
+OTHER_SCRIPT = re.compile(r"[\u0370-\u1fff]")
+FOUR_EAST_ASIAN = re.compile(r"(?:[^぀-ヿ㐀-鿿가-힯]*[぀-ヿ㐀-鿿가-힯]){4}")
+LATIN_START = re.compile(r"[A-Za-zÀ-ÿ]")
 LATIN_LANGUAGES = frozenset({"en", "de", "fr", "es"})
 
 
@@ -222,9 +261,12 @@ def sentences(text: str) -> list[str]:
 
 def is_running(sentence: str) -> bool:
     """Whether a sentence, or its cut beginning, is running text: not a lone term, mark, dose or placeholder."""
-    east = len(EAST_ASIAN.findall(sentence))
-    if east >= 4:
+    if FOUR_EAST_ASIAN.match(sentence):
         return True
+    if OTHER_SCRIPT.search(sentence):
+        words = WORD.findall(sentence)
+        if sum(len(w) for w in words if OTHER_SCRIPT.match(w)) >= 8:
+            return True
     words = LATIN_WORD.findall(sentence)
     if sentence.isupper():
         return len(words) >= 4
@@ -233,7 +275,7 @@ def is_running(sentence: str) -> bool:
 
 def _pieces(sentence: str) -> list[str]:
     """A sentence, cut where a stretch of Latin words stands beside East Asian text."""
-    if len(EAST_ASIAN.findall(sentence)) < 4:
+    if not FOUR_EAST_ASIAN.match(sentence) or not LATIN_START.search(sentence):
         return [sentence]
     runs = re.split(r"((?:[A-Za-zÀ-ÿ'’,;:()\d%-]+[ ]+){4,}[A-Za-zÀ-ÿ'’.]+)", sentence)
     return [r for r in runs if r.strip()]
@@ -252,7 +294,11 @@ def segment_languages(model: LanguageModel, texts: list[str]) -> list[list[tuple
                 if is_running(piece):
                     flat.append(piece)
                     owner.append(at)
-    names, sure, margin = model.classify(flat)
+    once = list(dict.fromkeys(flat))  # equal sentences are scored once
+    where = dict(zip(once, range(len(once))))
+    index = [where[piece] for piece in flat]
+    names, sure, margin = model.classify(once)
+    names, sure, margin = [names[i] for i in index], sure[index], margin[index]
     out: list[list[tuple[str, str, float]]] = [[] for _ in texts]
     for at, name in enumerate(names):
         if margin[at] < 6:
@@ -285,14 +331,14 @@ def training_sentences(texts: DataFrame, keys: list[str], label: str, text: str,
     cut = texts.filter(F.col(label).isNotNull() & F.col(text).isNotNull()).select(
         *keys, F.col(label).alias("label"), F.posexplode(F.split(text, r"(?<=[。！？!?\n])|(?<=[.])\s")).alias("_at", "sentence")
     )
-    cut = cut.filter(F.length("sentence") >= 12).withColumn("_hash", F.xxhash64(*keys, "_at"))
+    cut = cut.filter(F.length("sentence").between(12, LONGEST)).withColumn("_hash", F.xxhash64(*keys, "_at"))
     picked = cut.groupBy("label", F.pmod("_hash", F.lit(most)).alias("_slot")).agg(
         F.min_by("sentence", "_hash").alias("sentence"), F.count("*").alias("count")
     )
     found: dict[str, list[str]] = {}
     whole: dict[str, int] = {}
     for row in picked.select("label", "sentence", "count").collect():  # at most `most` rows a label
-        found.setdefault(row["label"], []).append(row["sentence"][:600])
+        found.setdefault(row["label"], []).append(row["sentence"])
         whole[row["label"]] = whole.get(row["label"], 0) + row["count"]
     return {k: sorted(v) for k, v in found.items() if len(v) >= 20}, {k: whole[k] for k, v in found.items() if len(v) >= 20}
 
@@ -333,7 +379,8 @@ def fit(samples: dict[str, list[str]], whole: dict[str, int], rounds: int = 2) -
 def detect(texts: DataFrame, columns: list[str], text: str, model: LanguageModel) -> DataFrame:
     """Rows ``(*columns, segment_no, segment, language, confidence)`` for every segment of every text.
 
-    Null, empty and blank texts and texts without running text give no rows.  Very long texts are scored whole, in
+    Null, empty and blank texts and texts without running text (lone terms, marks, doses, placeholders) give no rows;
+    running text in a script of none of the model's languages is ``UNKNOWN``.  Very long texts are scored whole, in
     chunks.
     """
     sent = texts.sparkSession.sparkContext.broadcast(model)  # bounded by the training sample

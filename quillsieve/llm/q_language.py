@@ -25,8 +25,8 @@ def language_model(spark: SparkSession, folder: str) -> LanguageModel:
 
 
 def _segments(spark: SparkSession, folder: str) -> DataFrame:
-    once = messages(spark, folder).dropDuplicates(["sample_id", "turn"])
-    return detect(once, ["sample_id", "turn", "label"], "text", language_model(spark, folder))
+    """Segments of all messages; those of samples delivered again are there again, so no text is shuffled."""
+    return detect(messages(spark, folder), ["sample_id", "turn", "label"], "text", language_model(spark, folder))
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -39,7 +39,7 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 def p5_segments(spark: SparkSession, folder: str) -> DataFrame:
     """Every segment of every message with its language and confidence."""
     columns = ("sample_id", "turn", "segment_no", "segment", "language", F.round("confidence", 6).alias("confidence"))
-    return _segments(spark, folder).select(*columns)
+    return _segments(spark, folder).select(*columns).dropDuplicates(["sample_id", "turn", "segment_no"])
 
 
 QUERIES = {"p5_found": (p5_found, None), "p5_segments": (p5_segments, None)}
