@@ -12,16 +12,16 @@ SCANNED = "扫描页"
 
 
 def _fields(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows ``(entry_no, scanned, field, text)``; delivered again ones once."""
+    """Rows ``(entry_no, scanned, field, text)``; delivered again ones are still there."""
     books = table(spark, folder, "formula_textbook")
     pairs = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("text")) for c in ("组成", "主治")])
     rows = books.select(F.col("序号").alias("entry_no"), F.col("页码类型").eqNullSafe(SCANNED).alias("scanned"), F.explode(pairs).alias("f"))
-    return rows.select("entry_no", "scanned", "f.field", "f.text").filter(F.col("text") != "").distinct()
+    return rows.select("entry_no", "scanned", "f.field", "f.text").filter(F.col("text") != "")
 
 
 def _repaired(spark: SparkSession, folder: str) -> DataFrame:
     rows = _fields(spark, folder)
-    editor = fit_editor(rows.filter(~F.col("scanned")), rows.filter("scanned"))
+    editor = fit_editor(rows, "text", F.col("scanned"))
     return repair(rows.filter(F.col("scanned") & F.col("entry_no").isNotNull()), ["entry_no", "field"], editor)
 
 
@@ -32,7 +32,7 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p6_repaired(spark: SparkSession, folder: str) -> DataFrame:
     """The repaired fields of the scanned entries."""
-    return _repaired(spark, folder).select("entry_no", "field", "repaired")
+    return _repaired(spark, folder).select("entry_no", "field", "repaired").distinct()
 
 
 QUERIES = {"p6_found": (p6_found, None), "p6_repaired": (p6_repaired, None)}

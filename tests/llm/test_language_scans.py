@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from quillsieve.llm.language import LanguageModel, detect, fit, label_code, segment_languages, sentences
-from quillsieve.llm.scans import Editor, repair
+from quillsieve.llm.scans import Editor, fit_editor, repair
 
 WORDS = {
     "en": "the dose should be taken with food and the blood test repeated after two weeks when symptoms return in winter".split(),
@@ -56,6 +56,17 @@ def test_mixed_texts():
     assert sentences("约2.5mg。好") == ["约2.5mg。", "好"]
 
 
+def test_other_scripts_are_unknown():
+    model = LanguageModel(_samples(4, 100))
+    for text in ("Лекарство принимают после еды, курс две недели.", "Το φάρμακο λαμβάνεται μετά το φαγητό.", "يؤخذ الدواء بعد الطعام لمدة أسبوعين", "ควรรับประทานยาหลังอาหารทุกวัน"):
+        assert [(s[1], s[2]) for s in segment_languages(model, [text])[0]] == [("unknown", 0.0)], text
+    assert [s[1] for s in segment_languages(model, [ZH + "（β受体）" + ZH])[0]] == ["zh"]
+    rng = random.Random(6)
+    russian = ["принимать лекарство следует после еды дважды в день " * 2 for _ in range(60)]
+    wider = LanguageModel({**_samples(4, 100), "ru": russian})
+    assert [s[1] for s in segment_languages(wider, ["Принимать дважды в день после еды. " + _sentence(rng, "en")])[0]] == ["ru", "en"]
+
+
 def test_detect(spark):
     model = LanguageModel(_samples(6, 100))
     df = spark.createDataFrame([(1, "The dose should be taken with food."), (2, None), (3, " "), (1, "The dose should be taken with food.")], "id int, text string").withColumn("language", F.lit("clash"))
@@ -70,6 +81,33 @@ HERBS = ["柴胡", "甘草", "桔梗", "人参", "川芎", "茯苓", "枳壳", "
 SIGNS = ["头痛", "咳嗽", "腹胀", "失眠", "心悸", "口苦"]
 
 
+def test_many_running_heads_are_known():
+    """No cap on the number of heads, and a head on one page in three hundred is one."""
+    rng = random.Random(17)
+    strange = [chr(c) for c in range(0x8C00, 0x8F00)]
+    heads = ["".join(rng.sample(strange, 3)) + "·" + "".join(rng.sample(strange, 3)) for _ in range(100)]
+    typed = [_typed(rng) for _ in range(300)]
+    pages = []
+    for k in range(900):
+        text = _typed(rng)
+        at = rng.randrange(2, len(text) - 2)
+        pages.append(f"{text[:at]}\n{heads[k % 100]}\n{text[at:]}")
+    editor = Editor().fit(typed, pages)
+    assert set(editor.heads) == set(heads)
+    found = editor.repair_all(pages)
+    assert sum("running_head" in noise for _, noise in found) >= 0.95 * len(pages)
+
+
+def test_statistics_in_spark_are_those_without(spark):
+    rng = random.Random(19)
+    typed, pages = [_typed(rng) for _ in range(200)], [_scan(rng, _typed(rng))[0] for _ in range(200)]
+    rows = [(t, False) for t in typed] + [(t, True) for t in pages] + [(None, True), ("", False)]
+    df = spark.createDataFrame(rows, "text string, scanned boolean").repartition(7)
+    a, b = fit_editor(df, "text", F.col("scanned")), Editor().fit(typed, pages)
+    assert a.confusions == b.confusions and a.heads == b.heads and (a.typed.keys == b.typed.keys).all()
+    assert sum(x == y for x, y in zip(a.repair_all(pages), b.repair_all(pages))) >= 0.97 * len(pages)
+
+
 def _typed(rng):
     if rng.random() < 0.5:
         return "、".join(f"{rng.choice(HERBS)}{rng.choice((3, 6, 9, 12))}g" for _ in range(rng.randrange(2, 7)))
