@@ -5,28 +5,37 @@ kinds.  Neighbouring tokens share transition potentials; repeated or similar tok
 which carry the evidence of a clear mention ("patient X") to an unclear one ("X came back").  Labels come from loopy
 message passing: forward-backward along each sentence, alternating with messages over the skip edges.
 
-There are no labelled rows, so the field is fitted to mentions that unmistakable cues mark in a bounded sample of texts; it
-is applied to all.  An exact check follows: a span is kept if its form is possible for its kind, and takes the exact ends of
-that form.
+There are no labelled rows, so the field is fitted to mentions that unmistakable cues (labels, titles, verbs of naming and
+speaking) mark in a bounded sample of texts; the characters and words of names are counted over all texts.  It is applied
+to all.  An exact check follows: a span is kept if its form is possible for its kind, and takes the exact ends of that form.
+
+The sentences of a batch are laid out one behind the other in arrays; features are rows of one weight table, and the chains
+of sentences of similar length are worked through together.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillsieve.operators.sample import bounded_rows
 from quillsieve.session import spread
 
 #: Documents that cues are looked for in, and sentences the field is fitted to, at most.
-FIT_DOCUMENTS, FIT_SENTENCES = 6000, 1800
-PASSES, RATE = 3, 0.25
-#: Rounds of messages over the skip edges.
-ROUNDS = 2
+FIT_DOCUMENTS, FIT_SENTENCES = 6000, 3600
+#: Passes over them, sentences between two updates, and the step size.
+PASSES, UPDATE_SENTENCES, RATE = 5, 16, 0.25
+#: Rounds of messages over the skip edges, and the most that a skip potential can weigh.
+ROUNDS, SKIP_MOST = 2, 3.0
+#: Names that a character or word must be part of, and their share of all names that cues mark.
+NAME_PART, NAME_PART_SHARE = 2, 2e-4
+#: Rows of the weight table, as a power of two; characters of a batch and padded tokens that are worked on at once.
+BITS, CHUNK, PADDED = 18, 1 << 18, 1 << 16
 
 KINDS = ("name", "phone", "email", "id_number", "address")
 LABELS = ("O", *(f"{b}-{k}" for k in KINDS for b in "BI"))
@@ -60,303 +69,562 @@ REGION = rf"(?:{H}{{2,4}}(?:省|自治区))?(?:{H}{{2,3}}市)?(?:{H}{{2,3}}(?:
 ADDRESS = re.compile(rf"{REGION}(?:{ROAD}|{ESTATE}|{VILLAGE})")
 ADDRESS_TAIL = re.compile(rf"(?:{ROAD}|{ESTATE}|{VILLAGE})")
 WESTERN_ADDRESS = re.compile(r"(?<!\d)\d{1,5} (?:[A-Z][a-z]+ ){1,4}(?:Lane|Street|Avenue|Road|Drive|Court|Way|Close|Square|Terrace|Place|Row|Bend|Hill)(?:,? (?:Apt|Flat|Unit)\.? \d+)?")
-WESTERN_NAME = re.compile(r"(?:[A-Z]\. ?)?[A-Z][a-z]+(?:,? [A-Z][a-z]+)+|[A-Z]\. ?[A-Z][a-z]+")
+CAPITAL = r"[A-ZÀ-ÖØ-Þ](?:['’][A-ZÀ-ÖØ-Þ])?[a-zß-öø-ÿĀ-ɏ]+(?:-[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿĀ-ɏ]+)?"
+PARTICLE = r"(?:de |del |de la |van |van der |von |da |di |la |le )?"
+WESTERN_NAME = re.compile(rf"(?:[A-Z]\. ?)?{CAPITAL}(?:,? {PARTICLE}{CAPITAL})+|[A-Z]\. ?{CAPITAL}")
 COMPOUND = ("欧阳", "司徒", "尉迟", "上官", "诸葛", "慕容", "皇甫", "东方", "夏侯", "司马", "公孙", "令狐", "宇文", "长孙", "端木", "独孤", "南宫")
-# Cues that leave no doubt.  The group is the name.
+# What stands before or behind a name: labels, titles, verbs.
+LABEL_ZH = "收件人|寄件人|联系人|经办人|负责人|登记表|姓名|签名|户主|备注"
+NAMING_ZH = "(?:儿子|女儿|孩子|母亲|父亲|丈夫|妻子|名)叫|[\\d〇零一二三四五六七八九]找"
+BEFORE_ZH = "患者|家属|病人|由|的|周|天|日|叫|找"
+BEHIND_ZH = "女士|先生|大爷|阿姨|大妈|大叔|口述|留言|来信|说自己|自述|又来|复诊"
+LABEL_EN = "[Pp]atient,?|[Bb]rother|[Ss]ister|[Cc]ontact:?|Kontakt:|Contacto:|question :|belongs to|[Pp]arcel for|[Nn]ame:|문의:|連絡先："
+ENDS = r"[。，,／/（(、；;\s）)]|的邮箱|$"
 NAME = rf"({H}{{2,4}}?)"
-CAP = r"((?:[A-Z]\. ?)?[A-Z][a-z]+(?:,? [A-Z][a-z]+)?)"
-CUES = tuple(
-    re.compile(p)
-    for p in (
-        rf"(?:收件人|联系人[：:]|姓名[：:]?|登记表[：:]|经办人|儿子叫|女儿叫|加的时候备注|经历由|[\d〇零一二三四五六七八九]找){NAME}(?=[。，,／/（(]|的邮箱|口述|$)",
-        rf"(?:患者|家属){NAME}(?=[，,（(])",
-        rf"[（(]{NAME}收[）)]",
-        rf"(?:^|(?<=[。\n]))(?!网友|有人|来信|患者){NAME}(?=女士留言|先生留言|说自己)",
-        rf"上周{NAME}(?=又来)",
-        rf"同病房的{NAME}(?=大爷|阿姨)",
-        rf"(?:大爷|阿姨)和{NAME}(?=大爷|阿姨)",
-        rf"(?:[Pp]atient, |[Bb]rother |[Ss]ister |Kontakt: |Contacto: |question : |belongs to |Parcel for |Contact |문의: |連絡先：){CAP}(?=[,.]| can | at |$)",
-        rf"(?:^|(?<=[.。!?] )|(?<=\n)){CAP}(?= came back)",
-    )
+CAP = rf"((?:[A-Z]\. ?)?{CAPITAL}(?:,? {PARTICLE}{CAPITAL})?)"
+#: Cues that give a name away by themselves; the group is the name.
+CUES = (
+    rf"(?=[收寄联经负登姓签户备儿女孩母父丈妻名\d〇零一二三四五六七八九])(?:(?:{LABEL_ZH})(?:[：:]|的时候|时)?|{NAMING_ZH}){NAME}(?={BEHIND_ZH}|{ENDS})",
+    rf"[（(]{NAME}收[）)]",
+    rf"(?=[PpBbSsCcKqNn문連])(?:{LABEL_EN}) ?{CAP}(?=[,.。、]| can | at | is | came |$)",
+    rf"([A-Z](?<![A-Za-z.][A-Z])\. ?{CAPITAL})(?= (?:came|said|says|asked|called|was|is|has|had|wrote|told) )",
 )
 CUE_BEFORE = {
     "phone": re.compile(r"(?:电话|手机[：:]?|拨打|微信同号|短信发到|打|联系[：:]|call|on|予約は|예약은|／|[（(])\s*$"),
     "id_number": re.compile(r"(?:身份证|证件[号：:]|证件号为|需提供|／|护照|file|姓名)\s*$"),
     "address": re.compile(r"(?:地址[：:]|现住|家住|住在|寄到|寄往|写的是|lives at|, )\s*$"),
 }
-TOKEN = re.compile(r"[A-Za-zÀ-ɏ]+|\d+|\s+|.", re.S)
-SENTENCE = re.compile(r"[^。！？!?\n]*[。！？!?\n]?")
-# Built from the forms, so that each sentence that holds a form is tagged.
-TRIGGER = re.compile(
-    rf"\d{{5}}|\d{{3}}[-\s）)]\s?\d{{3,4}}|{AT}|[{CN}]{{9}}|(?:{ROADS}|{ESTATES}|组)\d|{IN_TOWN}|村[一二三四五六七八九十]+组|\d [A-Z][a-z]+ [A-Z]"
-    rf"|{WESTERN_NAME.pattern}|{WESTERN_ADDRESS.pattern}|{PHONE.pattern}|{IDENTITY.pattern}"
-)
+WIDE_DIGIT = re.compile(r"[０-９]")
 PLAIN = {ord(a): b for a, b in zip("０１２３４５６７８９", "0123456789")}
 
+_TABLED = 0x30000
+_STEP, _MIX = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
+WORD, NUMBER, BLANK, MARK, CHARACTER = 1, 2, 3, 4, 5
+UPPER = 6  # a word that begins with a capital
+PLACE = "省市区县镇乡村路街巷道号栋室组弄里苑"
+STOPS = "。！？!?\n"
+#: Codes of the two places before and the two behind a sentence.
+EDGES = np.array([12, 11, 13, 14], dtype=np.uint64) * _MIX
+OUTSIDE = 7  # their class
+START = np.array([not label.startswith("I-") for label in LABELS])
+
+
+@lru_cache(maxsize=1)
+def _classes() -> np.ndarray:
+    """What each character is: part of a word, of a number, of a blank, an East Asian character or a mark."""
+    out = np.full(_TABLED, MARK, dtype=np.uint8)
+    for code in range(_TABLED):
+        char = chr(code)
+        if char.isdecimal():
+            out[code] = NUMBER
+        elif char.isspace():
+            out[code] = BLANK
+        elif "㐀" <= char <= "鿿":
+            out[code] = CHARACTER
+        elif code < 0x250 and char.isalpha():
+            out[code] = WORD
+    return out
+
+
+def _hash_words(words) -> np.ndarray:
+    """The codes that tokens with these texts have."""
+    return _Tokens(list(words)).token_of_text() if words else np.zeros(0, dtype=np.uint64)
+
+
+class _Tokens:
+    """The tokens of a batch of texts in arrays: code, class, place, sentence and text of each."""
+
+    def __init__(self, texts: list[str]):
+        joined = "\n".join(texts) + "\n"  # a text ends like a line
+        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        kind = _classes()[np.minimum(codes, _TABLED - 1)]
+        wide = (codes >= 0xFF10) & (codes <= 0xFF19)
+        codes = np.where(wide, codes - 0xFF10 + ord("0"), codes)
+        sizes = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
+        self.text_begin = np.cumsum(sizes) - sizes
+        ends = np.isin(codes, np.array([ord(c) for c in STOPS], dtype=np.uint32))
+        sentence_starts = np.zeros(len(codes), dtype=bool)
+        sentence_starts[1:] = ends[:-1]
+        sentence_starts[self.text_begin] = True
+        begins = sentence_starts.copy()
+        begins |= (kind == MARK) | (kind == CHARACTER)
+        begins[1:] |= kind[1:] != kind[:-1]
+        at = np.flatnonzero(begins)
+        size = np.diff(np.append(at, len(codes)))
+        own = kind[at].copy()
+        place = np.arange(len(codes)) - np.repeat(at, size)
+        powers = np.cumprod(np.full(int(place.max()) + 1, _STEP, dtype=np.uint64))
+        powers = powers[place]
+        code = np.add.reduceat((codes.astype(np.uint64) + np.uint64(1)) * powers, at)
+        number = (np.minimum(size, 21) + 100).astype(np.uint64) * _STEP
+        code = np.where(own == NUMBER, number, np.where(own == BLANK, np.uint64(99), code))
+        # words that differ in case only are similar, numbers only if they are the same
+        lowered = np.where((codes >= 65) & (codes <= 90), codes + 32, codes)
+        lower = np.add.reduceat((lowered.astype(np.uint64) + np.uint64(1)) * powers, at)
+        first = codes[at]
+        own[(own == WORD) & ((first <= 90) | (first >= 0xC0) & (first <= 0xDE))] = UPPER
+        sentence = np.cumsum(sentence_starts)[at] - 1
+        count = int(sentence[-1]) + 1
+        # two edges on either side of each sentence, so that what stands beside a token is what lies beside it
+        slot = np.arange(len(at)) + 4 * sentence + 2
+        whole = len(at) + 4 * count
+        self.sentence_size = np.bincount(sentence, minlength=count)
+        self.sentence_begin = np.cumsum(self.sentence_size + 4) - self.sentence_size - 2
+        self.real = np.zeros(whole, dtype=bool)
+        self.real[slot] = True
+        self.code = np.empty(whole, dtype=np.uint64)
+        self.code[slot] = (code ^ (code >> np.uint64(31))) * _MIX
+        for edge, places in zip(EDGES, (-2, -1, 0, 1)):
+            self.code[self.sentence_begin + places + (self.sentence_size if places >= 0 else 0)] = edge
+        self.kind = self._laid(own, slot, OUTSIDE)
+        self.size, self.lower, self.first = (self._laid(x, slot, 0) for x in (size, lower, first))
+        self.sentence = np.repeat(np.arange(count), self.sentence_size + 4)
+        text = np.searchsorted(self.text_begin, at, side="right") - 1
+        self.text = self._laid(text, slot, -1)
+        self.start = self._laid(at - self.text_begin[text], slot, -1)  # in its text
+        self.text_first = slot[np.searchsorted(at, self.text_begin)]
+
+    def _laid(self, values: np.ndarray, slot: np.ndarray, edge: int) -> np.ndarray:
+        out = np.full(len(self.real), edge, dtype=values.dtype if edge >= 0 else np.int64)
+        out[slot] = values
+        return out
+
+    def token_of_text(self) -> np.ndarray:
+        """The code of the first token of each text."""
+        return self.code[self.text_first]
+
+    def beside(self, values: np.ndarray, by: int) -> np.ndarray:
+        """The values ``by`` tokens on; edges lie beyond the sentence."""
+        return np.roll(values, -by)
 
-def _shape(token: str) -> str:
-    if token.isdigit():
-        return f"D{min(len(token), 21)}"
-    if token.isspace():
-        return "_"
-    return token
 
+def _points(chars) -> np.ndarray:
+    """A table of which code points are among ``chars``."""
+    out = np.zeros(_TABLED, dtype=bool)
+    out[[ord(c) for c in chars]] = True
+    return out
 
-def _class(token: str) -> str:
-    if token.isdigit():
-        return "9"
-    if token.isspace():
-        return "_"
-    if len(token) > 1 or "A" <= token <= "z":
-        return "A" if token[:1].isupper() else "a"
-    return "h" if "㐀" <= token <= "鿿" else "."
+
+_PLACES, _BRACKETS = _points(PLACE), _points("+-(（@")
 
 
 class Tagger:
     """The fitted field."""
 
     def __init__(self):
-        self.weights: dict[str, np.ndarray] = {}
+        self.weights = np.zeros((1 << BITS, len(LABELS)), dtype=np.float32)
         self.transitions = np.zeros((len(LABELS), len(LABELS)))
         self.skip = np.zeros(len(KINDS) + 1)
+        self._gains: list[np.ndarray] | None = None
         self.family: set[str] = set()
         self.given: set[str] = set()
         self.western: set[str] = set()
-        self.trigger = TRIGGER
-
-    # -- tokens and features ----------------------------------------------------------------------------------------
-
-    def _learn_words(self, names: list[str]) -> None:
-        family, given = defaultdict(int), defaultdict(int)
-        for name in names:
-            if re.match(H, name):
-                cut = 2 if name[:2] in COMPOUND and len(name) > 2 else 1
-                family[name[:cut]] += 1
-                for c in name[cut:]:
-                    given[c] += 1
-            else:
-                self.western.update(re.findall(r"[A-Z][a-z]+", name))
-        self.family = {k for k, n in family.items() if n >= 2}
-        self.given = {k for k, n in given.items() if n >= 2}
+        self._learned()
+
+    # -- names ------------------------------------------------------------------------------------------------------
+
+    def learn_names(self, parts: pd.DataFrame) -> None:
+        """``parts``: ``(what, part)`` with ``what`` one of family, given and western."""
+        self.family, self.given, self.western = (set(parts.loc[parts["what"] == k, "part"]) for k in ("family", "given", "western"))
+        self._learned()
+
+    def _learned(self) -> None:
+        double = [f for f in self.family if len(f) == 2]
+        self._family, self._given = _points(f for f in self.family if len(f) == 1), _points(self.given)
+        self._first = _points(f[0] for f in double)
+        self._double = np.sort(np.array([(ord(f[0]) << 21) | ord(f[1]) for f in double], dtype=np.int64))
+        self._western = np.sort(_hash_words(sorted(self.western)))
+        #: names made of known parts, and these before or behind a title or a verb, which alone would say little
+        self.known, self.known_cues = None, ()
         if self.family and self.given:
-            pair = "(?:" + "|".join(sorted(self.family, key=lambda x: (-len(x), x))) + ")[" + "".join(sorted(self.given)) + "]"
-            self.trigger = re.compile(TRIGGER.pattern + "|" + pair)
-
-    def features(self, tokens: list[str]) -> list[list[str]]:
-        shapes = ["^^", "^", *map(_shape, tokens), "$", "$$"]
-        classes = ["^", "^", *map(_class, tokens), "$", "$"]
-        out = []
-        for at in range(len(tokens)):
-            k = at + 2
-            a, b, c, d, e = shapes[k - 2 : k + 3]
-            kinds = "".join(classes[k - 2 : k + 3])
-            two = tokens[at] + (tokens[at + 1] if at + 1 < len(tokens) else "")
-            family = ("f" if tokens[at] in self.family else "") + ("F" if two in self.family else "") + ("w" if tokens[at] in self.western else "")
-            given = "".join("g" if t in self.given else "-" for t in shapes[k - 1 : k + 3])
-            last = next((t for t in reversed(tokens[max(0, at - 4) : at]) if t in ("+", "-", "(", "（", "@")), "")
-            own = [f"0{c}", f"1{b}|{c}", f"2{c}|{d}", f"3{a}|{b}", f"4{d}|{e}", f"5{kinds}", f"6{family}{given}", f"7{b}", f"8{d}", f"9{b}|{d}"]
-            own += [f"a{a}", f"b{e}", f"c{family}{given}{b}", f"e{last}{classes[k]}"]
-            if len(tokens[at]) == 1 and tokens[at] in "省市区县镇乡村路街巷道号栋室组弄里苑":
-                own.append("d")
-            out.append(own)
-        return out
-
-    def _unary(self, features: list[list[str]]) -> np.ndarray:
-        out = np.zeros((len(features), len(LABELS)))
-        for at, own in enumerate(features):
-            row = out[at]
-            for f in own:
-                w = self.weights.get(f)
-                if w is not None:
-                    row += w
+            known = "(?:" + "|".join(sorted(self.family, key=lambda x: (-len(x), x))) + ")[" + "".join(sorted(self.given)) + "]{1,2}"
+            self.known = re.compile(known)
+            cues = (rf"(?:{BEFORE_ZH})({known})(?={ENDS})", rf"(?:{BEFORE_ZH}|[和与跟])({known})(?={BEHIND_ZH})", rf"(?<!{H})({known})(?={BEHIND_ZH})")
+            self.known_cues = tuple(map(re.compile, cues))
+
+    # -- features ---------------------------------------------------------------------------------------------------
+
+    def _flags(self, tokens: _Tokens) -> tuple[np.ndarray, np.ndarray]:
+        """Whether tokens are parts of family (1), compound family (2) or western names (4), and of given names."""
+        point = np.minimum(tokens.first, _TABLED - 1)
+        family = self._family[point].astype(np.int64)
+        maybe = np.flatnonzero(self._first[point])
+        pair = (tokens.first[maybe].astype(np.int64) << 21) | np.roll(tokens.first, -1)[maybe].astype(np.int64)
+        family[maybe] += 2 * np.isin(pair, self._double)
+        words = np.flatnonzero((tokens.kind == UPPER) | (tokens.kind == WORD))
+        family[words] += 4 * np.isin(tokens.code[words], self._western)
+        return family, self._given[point]
+
+    def _features(self, tokens: _Tokens) -> np.ndarray:
+        """Rows of the weight table, one for each template and token."""
+        code, kind = tokens.code, tokens.kind.astype(np.int64)
+        a, b, d, e = (tokens.beside(code, by) for by in (-2, -1, 1, 2))
+        kinds = kind
+        for by in (-2, -1, 1, 2):
+            kinds = kinds * 8 + tokens.beside(kind, by)
+        family, own = self._flags(tokens)
+        given = own.astype(np.int64)
+        for by in (-1, 1, 2):
+            given = given * 2 + tokens.beside(own, by)
+        point = np.minimum(tokens.first, _TABLED - 1)
+        marks = np.where(_BRACKETS[point], tokens.first, 0).astype(np.int64)
+        bracket = np.zeros_like(marks)
+        for by in (-4, -3, -2, -1):
+            near = tokens.beside(marks, by)
+            bracket = np.where(near > 0, near, bracket)
+        known = family * 16 + given
+        templates = (
+            (code,), (b, code), (code, d), (a, b), (d, e), (kinds,), (known,), (b,), (d,), (b, d),
+            (a,), (e,), (known, b), (bracket * 8 + kind,), (_PLACES[point],),
+        )
+        rows = np.empty((len(templates), len(code)), dtype=np.int32)
+        for at, values in enumerate(templates):
+            mixed = values[0].astype(np.uint64) * _STEP + np.uint64(at + 1)
+            for value in values[1:]:
+                mixed = (mixed ^ (mixed >> np.uint64(33))) * _STEP + value.astype(np.uint64)
+            mixed = (mixed ^ (mixed >> np.uint64(32))) * _MIX
+            rows[at] = (mixed >> np.uint64(64 - BITS)).astype(np.int32)
+        return rows
+
+    def _unary(self, rows: np.ndarray) -> np.ndarray:
+        out = np.zeros((rows.shape[1], len(LABELS)), dtype=np.float32)
+        for own in rows:
+            out += self.weights[own]
         return out
 
     # -- inference --------------------------------------------------------------------------------------------------
 
-    def _chain(self, unary: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Forward and backward messages in probabilities scaled per token, and the transition factors."""
+    def _blocks(self, sizes: np.ndarray, most: int = PADDED):
+        """Sentences of similar length, as many as fit into ``most`` padded tokens."""
+        order = np.argsort(sizes, kind="stable")
+        begin = 0
+        while begin < len(order):
+            end = begin + 1
+            while end < len(order) and int(sizes[order[end]]) * (end + 1 - begin) <= most:
+                end += 1
+            yield order[begin:end]
+            begin = end
+
+    def _padded(self, unary: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Potentials by place and sentence, and which of them are tokens; padding is certainly outside."""
+        place = np.arange(int(size.max()))[:, None]
+        real = place < size[None, :]
+        out = np.full((*real.shape, len(LABELS)), -50.0)
+        out[..., 0] = 0.0
+        out[real] = unary[(begin[None, :] + place)[real]]
+        return out, real
+
+    def _chains(self, unary: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Forward and backward messages of padded sentences, scaled per token, with node and transition factors."""
+        padded, real = self._padded(unary, begin, size)
         factor = np.where(ALLOWED, np.exp(self.transitions), 0.0)
-        node = np.exp(unary - unary.max(axis=1, keepdims=True))
-        size = len(node)
-        ahead, back = np.zeros_like(node), np.ones_like(node)
-        start = np.array([not label.startswith("I-") for label in LABELS], dtype=float)
-        ahead[0] = node[0] * start
-        ahead[0] /= ahead[0].sum()
-        for t in range(1, size):
+        node = np.exp(padded - padded.max(axis=2, keepdims=True))
+        ahead, back = np.empty_like(node), np.ones_like(node)
+        ahead[0] = node[0] * START
+        ahead[0] /= ahead[0].sum(axis=1, keepdims=True)
+        for t in range(1, len(node)):
             row = (ahead[t - 1] @ factor) * node[t]
-            ahead[t] = row / row.sum()
-        for t in range(size - 2, -1, -1):
-            row = factor @ (node[t + 1] * back[t + 1])
-            back[t] = row / row.sum()
-        return ahead, back, factor
-
-    def _beliefs(self, unary: np.ndarray) -> np.ndarray:
-        ahead, back, _ = self._chain(unary)
-        belief = ahead * back
-        return belief / belief.sum(axis=1, keepdims=True)
-
-    def _best(self, unary: np.ndarray) -> np.ndarray:
-        scores = np.where(ALLOWED, self.transitions, -1e9)
-        now = unary[0] + np.array([0.0 if not label.startswith("I-") else -1e9 for label in LABELS])
-        steps = []
-        for t in range(1, len(unary)):
-            each = now[:, None] + scores
-            steps.append(each.argmax(axis=0))
-            now = each.max(axis=0) + unary[t]
-        path = [int(now.argmax())]
-        for step in reversed(steps):
-            path.append(int(step[path[-1]]))
-        return np.array(path[::-1])
-
-    def _skip_groups(self, sentences: list[list[str]]) -> list[list[tuple[int, int]]]:
-        """Places of tokens that share skip edges: repeated name characters' pairs, names in Latin script, long numbers."""
-        groups: dict[str, list[tuple[int, int]]] = defaultdict(list)
-        for s, tokens in enumerate(sentences):
-            for t, token in enumerate(tokens):
-                if len(token) > 3 and (token[0].isupper() or token.isdigit()):
-                    groups[token.lower()].append((s, t))
-                elif t + 1 < len(tokens) and tokens[t + 1] in self.given and (token in self.family or token in self.given):
-                    groups[token + tokens[t + 1]].append((s, t))
-        return [g for g in groups.values() if len(g) > 1]
-
-    def label(self, sentences: list[list[str]]) -> list[np.ndarray]:
-        """Labels of the tokens of one document's sentences."""
-        unary = [self._unary(self.features(tokens)) for tokens in sentences]
-        groups = self._skip_groups(sentences)
-        total = [u.copy() for u in unary]
-        if groups:
-            sent: dict[tuple[int, int], np.ndarray] = {}
+            ahead[t] = row / row.sum(axis=1, keepdims=True)
+        for t in range(len(node) - 2, -1, -1):
+            row = (node[t + 1] * back[t + 1]) @ factor.T
+            back[t] = np.where(real[t + 1][:, None], row / row.sum(axis=1, keepdims=True), 1.0)
+        return ahead, back, node, factor, real
+
+    def _beliefs(self, unary: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The probabilities of the labels of all tokens of these sentences, at the places of their tokens."""
+        out = np.zeros_like(unary)
+        for own in self._blocks(size):
+            ahead, back, _, _, real = self._chains(unary, begin[own], size[own])
+            belief = ahead * back
+            belief /= belief.sum(axis=2, keepdims=True)
+            place = np.arange(len(belief))[:, None] + begin[own][None, :]
+            out[place[real]] = belief[real]
+        return out
+
+    def _best(self, unary: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The best labels of all tokens of these sentences, 0 elsewhere."""
+        out = np.zeros(len(unary), dtype=np.int8)
+        scores = np.where(ALLOWED, self.transitions, -1e9).T  # by label, then by the label before
+        for own in self._blocks(size):
+            padded, real = self._padded(unary, begin[own], size[own])
+            now = padded[0] + np.where(START, 0.0, -1e9)
+            steps = np.empty((len(padded), len(own), len(LABELS)), dtype=np.int8)
+            for t in range(1, len(padded)):
+                each = now[:, None, :] + scores
+                step = each.argmax(axis=2)
+                steps[t] = step
+                now = np.take_along_axis(each, step[..., None], axis=2)[..., 0] + padded[t]
+            label = now.argmax(axis=1)
+            which = np.arange(len(own))
+            for t in range(len(padded) - 1, -1, -1):
+                inside = real[t]
+                out[begin[own][inside] + t] = label[inside]
+                if t:
+                    label = steps[t][which, label]
+        return out
+
+    def _skip_groups(self, tokens: _Tokens, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens that share skip edges, and the group of each: repeated pairs of name characters, capitalised words and long numbers."""
+        family, given = self._flags(tokens)
+        long = (tokens.size > 3) & ((tokens.kind == UPPER) | (tokens.kind == NUMBER))
+        pair = ~long & tokens.beside(given, 1) & ((family & 1 > 0) | given)
+        at = np.flatnonzero((long | pair) & among & tokens.real)
+        key = np.where(long[at], tokens.lower[at], tokens.code[at] * _STEP + tokens.code[np.minimum(at + 1, len(tokens.code) - 1)])
+        key = (key ^ (tokens.text[at].astype(np.uint64) + np.uint64(1)) * _MIX) * _STEP
+        _, group, count = np.unique(key, return_inverse=True, return_counts=True)
+        shared = count[group] > 1
+        at, group = at[shared], group[shared]
+        order = np.argsort(group, kind="stable")
+        return at[order], np.unique(group[order], return_inverse=True)[1] if len(at) else group
+
+    def _hopeful(self, real: np.ndarray, starts: np.ndarray, begin: np.ndarray, inside: np.ndarray, kind: str) -> np.ndarray:
+        """Sentences in which some mention of a kind could score more than none, by an upper bound.
+
+        ``starts``: where the edges before each sentence are; ``begin`` and ``inside``: what each token gains at most as
+        the first or another token of a mention.  A mention gains at most what its first token does, the best run of
+        insides behind it, and the best transitions into and out of it.
+        """
+        trans = np.where(ALLOWED, self.transitions, -np.inf) - self.transitions[0, 0]
+        b, i = INDEX["B-" + kind], INDEX["I-" + kind]
+        on, enter, leave = max(trans[b, i], trans[i, i]), trans[:, b].max(), max(0.0, trans[[b, i]][:, START].max())
+        upto = np.cumsum(np.where(real, inside + on, -1e6))  # no run goes on into the next sentence
+        best = np.maximum.accumulate(upto[::-1])[::-1]
+        whole = np.where(real, begin + (best - upto), -1e6)
+        return np.maximum.reduceat(whole, starts) + (enter + leave) > -1e-6
+
+    def _first_bound(self, tokens: _Tokens, rows: np.ndarray, extra: np.ndarray) -> np.ndarray:
+        """Sentences that pass the bound in which each feature counts for the kind that it speaks for most."""
+        if self._gains is None:
+            own = self.weights - self.weights[:, :1]
+            self._gains = [own[:, [INDEX[x + k] for k in KINDS]].max(axis=1) for x in ("B-", "I-")]
+        begin, inside = extra.copy(), extra.copy()
+        for row in rows:
+            begin += self._gains[0][row]
+            inside += self._gains[1][row]
+        return np.logical_or.reduce([self._hopeful(tokens.real, tokens.sentence_begin - 2, begin, inside, k) for k in KINDS])
+
+    def _second_bound(self, tokens: _Tokens, some: np.ndarray, unary: np.ndarray, extra: np.ndarray) -> np.ndarray:
+        """Of the sentences ``some``, those that pass the bound of a kind; ``unary`` and ``extra``: of their tokens and edges."""
+        sizes = tokens.sentence_size[some] + 4
+        starts = np.cumsum(sizes) - sizes
+        real = tokens.real[some[tokens.sentence]]
+        gain = lambda label: unary[:, INDEX[label]] - unary[:, 0] + extra
+        passed = [self._hopeful(real, starts, gain("B-" + k), gain("I-" + k), k) for k in KINDS]
+        out = some.copy()
+        out[some] = np.logical_or.reduce(passed)
+        return out
+
+    def label(self, tokens: _Tokens) -> np.ndarray:
+        """Labels of the tokens; skip edges join the tokens of one text.
+
+        Sentences in which no mention could score more than none are left out of the chains, which changes nothing: a
+        first bound takes the best kind of each feature for the kind of the mention, a second one each kind by itself.
+        Tokens with skip edges may gain as much again as a skip potential.
+        """
+        rows = self._features(tokens)
+        shared = np.zeros(len(tokens.real), dtype=bool)
+        shared[self._skip_groups(tokens, tokens.real)[0]] = True
+        extra = np.where(shared, np.float32(self.skip.max()), np.float32(0))
+        some = self._first_bound(tokens, rows, extra)
+        picked = np.flatnonzero(some[tokens.sentence])
+        unary = np.zeros((len(tokens.real), len(LABELS)), dtype=np.float32)
+        if len(picked):
+            unary[picked] = self._unary(rows[:, picked])
+            some = self._second_bound(tokens, some, unary[picked], extra[picked])
+        begin, size = tokens.sentence_begin[some], tokens.sentence_size[some]
+        if not len(begin):
+            return np.zeros(len(tokens.real), dtype=np.int8)
+        total = unary
+        at, group = self._skip_groups(tokens, some[tokens.sentence])
+        if len(at):
+            first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+            others = np.maximum(1, np.bincount(group)[group] - 1)[:, None]
+            touched = np.unique(tokens.sentence[at])
+            begin_t, size_t = tokens.sentence_begin[touched], tokens.sentence_size[touched]
+            sent = np.zeros((len(at), len(LABELS)))
+            by_kind = (KIND_OF[:, None] == np.arange(len(KINDS) + 1)).astype(float)
             for _ in range(ROUNDS):
-                touched = {s for g in groups for s, _ in g}
-                beliefs = {s: self._beliefs(total[s]) for s in touched}
-                for group in groups:
-                    # a message says how far the others take the token for each kind, without what they heard from it
-                    votes = []
-                    for s, t in group:
-                        own = np.log(beliefs[s][t] + 1e-12) - sent.get((s, t), 0.0)
-                        own = np.exp(own - own.max())
-                        kind = np.bincount(KIND_OF, own / own.sum(), len(KINDS) + 1)
-                        votes.append(np.log1p(np.expm1(self.skip) * kind))
-                    whole = np.sum(votes, axis=0)
-                    for (s, t), own in zip(group, votes):
-                        sent[s, t] = (whole - own)[KIND_OF] / max(1, len(group) - 1)
-                total = [u.copy() for u in unary]
-                for (s, t), message in sent.items():
-                    total[s][t] += message
-        return [self._best(u) for u in total]
+                belief = self._beliefs(total, begin_t, size_t)[at]
+                # a message says how far the others take the token for each kind, without what they heard from it
+                own = np.log(belief + 1e-12) - sent
+                own = np.exp(own - own.max(axis=1, keepdims=True))
+                kind = own / own.sum(axis=1, keepdims=True) @ by_kind
+                votes = np.log1p(np.expm1(self.skip) * kind)
+                whole = np.add.reduceat(votes, first, axis=0)[group]
+                sent = ((whole - votes) / others)[:, KIND_OF]
+                total = unary.copy()
+                total[at] += sent
+        return self._best(total, begin, size)
 
     # -- fitting ----------------------------------------------------------------------------------------------------
 
     def fit(self, documents: list[str], seed: int = 5) -> "Tagger":
-        """Fit to the mentions that cues mark in ``documents``."""
-        marked = [cue_spans(plain(d)) for d in documents]
-        self._learn_words([plain(d)[a:b] for d, spans in zip(documents, marked) for a, b, k in spans if k == "name"])
-        rows, quiet = [], []
+        """Fit to the mentions that cues mark in ``documents``; names are counted in them where that hasn't been done."""
+        documents = sorted(documents)
+        if not self.family and not self.western:
+            names = pd.Series([n for d in documents for n in cued_names(plain(d))], dtype="object")
+            counted = pd.DataFrame([p for n in names for p in name_parts(n)], columns=["what", "part"]).value_counts().reset_index(name="n")
+            self.learn_names(counted[counted["n"] >= max(NAME_PART, NAME_PART_SHARE * len(names))])
+        spans = [cue_spans(plain(d), self.known_cues) for d in documents]
+        doubt = [_doubtful(plain(d), own, self.known) for d, own in zip(documents, spans)]
+        tokens = _Tokens(documents)
+        gold, unsure = np.zeros(len(tokens.real), dtype=np.int64), np.zeros(len(tokens.real), dtype=bool)
+        slots = np.flatnonzero(tokens.real)
+        start = tokens.start[slots]
+        bounds = np.append(np.searchsorted(slots, tokens.text_first), len(slots))
+        for at, own in enumerate(spans):
+            inside = start[bounds[at] : bounds[at + 1]]
+            for a, b, kind in own:
+                low, high = bounds[at] + np.searchsorted(inside, [a, b])
+                gold[slots[low:high]] = INDEX["I-" + kind]
+                if low < high and start[low] == a:
+                    gold[slots[low]] = INDEX["B-" + kind]
+            for a, b in doubt[at]:
+                low, high = bounds[at] + np.searchsorted(inside, [a, b])
+                unsure[slots[low:high]] = True
+        self._fit_skip(tokens, gold)
+        edges = tokens.sentence_begin - 2
+        marked = np.maximum.reduceat(gold, edges) > 0
+        dubious = np.maximum.reduceat(unsure, edges)
+        figures = np.maximum.reduceat((tokens.kind == NUMBER) | (tokens.kind == UPPER) | self._flags(tokens)[1], edges)
+        rng = np.random.default_rng(seed)
+        pick = lambda chosen, share: rng.permutation(np.flatnonzero(chosen & ~dubious))[: int(FIT_SENTENCES * share)]
+        train = np.concatenate([pick(marked, 0.5), pick(~marked & figures, 0.35), pick(~marked & ~figures, 0.15)])
+        self._descend(tokens, gold, train, rng)
+        return self
+
+    def _fit_skip(self, tokens: _Tokens, gold: np.ndarray) -> None:
+        """Skip potentials: how much more often tokens that share an edge are of one kind than of two."""
+        at, group = self._skip_groups(tokens, tokens.real)
         agree, differ = np.ones(len(KINDS) + 1), np.ones(len(KINDS) + 1)
-        for document, spans in zip(documents, marked):
-            text = plain(document)
-            own = []
-            for start, sentence in cut_sentences(text, self.trigger):
-                tokens, places = tokenize(sentence, start)
-                gold = np.zeros(len(tokens), dtype=int)
-                for a, b, kind in spans:
-                    inside = [k for k, p in enumerate(places) if a <= p < b]
-                    for k in inside:
-                        gold[k] = INDEX[("B-" if places[k] == a else "I-") + kind]
-                (rows if gold.any() else quiet).append((tokens, gold))
-                own.append((tokens, gold))
-            for group in self._skip_groups([t for t, _ in own]):
-                kinds = [KIND_OF[own[s][1][t]] for s, t in group]
-                for k in kinds:
-                    if k:
-                        agree[k] += sum(x == k for x in kinds) - 1
-                        differ[k] += sum(x != k for x in kinds)
-        self.skip = np.clip(np.log(agree / differ), 0.0, 3.0)
+        if len(at):
+            kind = KIND_OF[gold[at]]
+            table = np.zeros((group.max() + 1, len(KINDS) + 1))
+            np.add.at(table, (group, kind), 1)
+            agree += (table * (table - 1)).sum(axis=0)
+            differ += (table * (table.sum(axis=1, keepdims=True) - table)).sum(axis=0)
+        self.skip = np.clip(np.log(agree / differ), 0.0, SKIP_MOST)
         self.skip[0] = 0.0
-        rng = np.random.default_rng(seed)
-        rng.shuffle(rows)
-        rng.shuffle(quiet)
-        train = [*rows[: FIT_SENTENCES * 2 // 3], *quiet[: FIT_SENTENCES // 3]]
-        featured = [(self.features(tokens), gold) for tokens, gold in train]
-        squares: dict[str, np.ndarray] = {}
+
+    def _descend(self, tokens: _Tokens, gold: np.ndarray, train: np.ndarray, rng: np.random.Generator) -> None:
+        """Gradient steps on the likelihood of the labels, scaled by what each weight has moved so far."""
+        self._gains = None
+        squares = np.full(self.weights.shape, 1e-2, dtype=np.float32)
         transition_squares = np.full_like(self.transitions, 1e-2)
+        rows = self._features(tokens)
+        size = tokens.sentence_size[train]
+        near = train[np.argsort(size, kind="stable")]  # updates with sentences of similar length
+        groups = [near[k : k + UPDATE_SENTENCES] for k in range(0, len(near), UPDATE_SENTENCES)]
         for _ in range(PASSES):
-            rng.shuffle(featured)
-            for features, gold in featured:
-                unary = self._unary(features)
-                ahead, back, factor = self._chain(unary)
+            for at in rng.permutation(len(groups)):
+                own = groups[at]
+                begin, size = tokens.sentence_begin[own], tokens.sentence_size[own]
+                place = np.concatenate([np.arange(b, b + n) for b, n in zip(begin, size)])
+                unary = self._unary(rows[:, place])
+                inner = np.cumsum(size) - size
+                ahead, back, node, factor, real = self._chains(unary, inner, size)
                 belief = ahead * back
-                belief /= belief.sum(axis=1, keepdims=True)
-                slope = -belief
-                slope[np.arange(len(gold)), gold] += 1
-                for at in np.flatnonzero(np.abs(slope).max(axis=1) > 0.02):
-                    for f in features[at]:
-                        if f not in self.weights:
-                            self.weights[f], squares[f] = np.zeros(len(LABELS)), np.full(len(LABELS), 1e-2)
-                        squares[f] += slope[at] ** 2
-                        self.weights[f] += RATE * slope[at] / np.sqrt(squares[f])
-                if len(gold) > 1:
-                    node = np.exp(unary - unary.max(axis=1, keepdims=True))
-                    pair = ahead[:-1, :, None] * factor[None] * (node[1:] * back[1:])[:, None, :]
-                    pair /= pair.sum(axis=(1, 2), keepdims=True)
-                    change = -pair.sum(axis=0)
-                    np.add.at(change, (gold[:-1], gold[1:]), 1)
-                    transition_squares += change**2
-                    self.transitions += RATE * change / np.sqrt(transition_squares)
-        self.weights = {f: w.astype(np.float32) for f, w in self.weights.items() if np.abs(w).max() > 0.02}
-        return self
+                belief /= belief.sum(axis=2, keepdims=True)
+                slope = np.zeros_like(unary)
+                flat = np.arange(len(belief))[:, None] + inner[None, :]
+                slope[flat[real]] = -belief[real]
+                slope[np.arange(len(place)), gold[place]] += 1
+                much = np.flatnonzero(np.abs(slope).max(axis=1) > 0.02)
+                if len(much):
+                    used, which = np.unique(rows[:, place[much]].T, return_inverse=True)
+                    change = np.zeros((len(used), len(LABELS)), dtype=np.float32)
+                    moved = np.zeros_like(change)
+                    each = np.repeat(slope[much], len(rows), axis=0)
+                    np.add.at(change, which.ravel(), each)
+                    np.add.at(moved, which.ravel(), each**2)
+                    squares[used] += moved
+                    self.weights[used] += RATE * change / np.sqrt(squares[used])
+                if len(belief) > 1:
+                    pair = ahead[:-1, :, :, None] * factor * (node[1:] * back[1:])[:, :, None, :]
+                    pair /= pair.sum(axis=(2, 3), keepdims=True)
+                    step = -pair[real[1:]].sum(axis=0)
+                    inside = np.ones(len(place), dtype=bool)
+                    inside[inner] = False
+                    now = np.flatnonzero(inside)
+                    np.add.at(step, (gold[place[now - 1]], gold[place[now]]), 1)
+                    transition_squares += step**2
+                    self.transitions += RATE * step / np.sqrt(transition_squares)
 
     # -- use --------------------------------------------------------------------------------------------------------
 
+    def mentions_of(self, documents: list[str]) -> list[list[tuple[int, int, str]]]:
+        """For each document ``(start, end, kind)`` of every mention, in order, without overlaps."""
+        out: list[list[tuple[int, int, str]]] = []
+        begin, room = 0, 0
+        for at in range(len(documents) + 1):
+            if at == len(documents) or room > CHUNK:
+                if at > begin:
+                    out += self._mentions(documents[begin:at])
+                begin, room = at, 0
+            if at < len(documents):
+                room += len(documents[at]) + 1
+        return out
+
     def mentions(self, document: str) -> list[tuple[int, int, str]]:
-        """``(start, end, kind)`` of every mention, in order, without overlaps."""
-        text = plain(document)
-        sentences, places = [], []
-        for start, sentence in cut_sentences(text, self.trigger):
-            tokens, at = tokenize(sentence, start)
-            sentences.append(tokens)
-            places.append(at + [start + len(sentence)])
-        if not sentences:
-            return []
-        found: list[tuple[int, int, str]] = []
-        for labels, at in zip(self.label(sentences), places):
-            k = 0
-            while k < len(labels):
-                if labels[k] == 0:
-                    k += 1
-                    continue
-                kind = KIND_OF[labels[k]]
-                end = k + 1
-                while end < len(labels) and labels[end] and KIND_OF[labels[end]] == kind and LABELS[labels[end]][0] == "I":
-                    end += 1
-                span = checked(text, at[k], at[end], KINDS[kind - 1], (at[0], at[-1]))
-                if span:
-                    found.append((*span, KINDS[kind - 1]))
-                k = end
-        out: list[tuple[int, int, str]] = []
-        for span in sorted(set(found), key=lambda s: (s[0], -s[1])):
-            if not out or span[0] >= out[-1][1]:
-                out.append(span)
+        """The mentions of one document."""
+        return self.mentions_of([document])[0]
+
+    def _mentions(self, documents: list[str]) -> list[list[tuple[int, int, str]]]:
+        tokens = _Tokens(documents)
+        labels = self.label(tokens)
+        inside = ~START[labels]
+        found: list[list[tuple[int, int, str]]] = [[] for _ in documents]
+        plained: dict[int, str] = {}
+        ends = tokens.start + tokens.size
+        for first in np.flatnonzero((labels > 0) & ~inside):
+            last = int(first)
+            while inside[last + 1]:  # an edge isn't inside
+                last += 1
+            at = int(tokens.text[first])
+            if at not in plained:
+                plained[at] = plain(documents[at])
+            low = tokens.sentence_begin[tokens.sentence[first]]
+            high = low + tokens.sentence_size[tokens.sentence[first]] - 1
+            kind = KINDS[KIND_OF[labels[first]] - 1]
+            within = (int(tokens.start[low]), min(int(ends[high]), len(plained[at])))
+            span = checked(plained[at], int(tokens.start[first]), min(int(ends[last]), len(plained[at])), kind, within)
+            if span:
+                found[at].append((*span, kind))
+        out = []
+        for own in found:
+            kept: list[tuple[int, int, str]] = []
+            for span in sorted(set(own), key=lambda s: (s[0], -s[1])):
+                if not kept or span[0] >= kept[-1][1]:
+                    kept.append(span)
+            out.append(kept)
         return out
 
 
 def plain(text: str) -> str:
     """The text with plain digits, of the same length."""
-    return text.translate(PLAIN)
+    return text.translate(PLAIN) if WIDE_DIGIT.search(text) else text
+
+
+def cued_names(text: str) -> list[str]:
+    """The names that cues give away by themselves."""
+    return [m.group(1) for cue in _compiled() for m in cue.finditer(text)]
 
 
-def tokenize(sentence: str, start: int) -> tuple[list[str], list[int]]:
-    found = list(TOKEN.finditer(sentence))
-    return [m[0] for m in found], [start + m.start() for m in found]
+@lru_cache(maxsize=1)
+def _compiled() -> tuple[re.Pattern, ...]:
+    return tuple(re.compile(c) for c in CUES)
 
 
-def cut_sentences(text: str, trigger: re.Pattern) -> list[tuple[int, str]]:
-    """Sentences that could hold a mention at all, with their offsets."""
-    return [(m.start(), m[0]) for m in SENTENCE.finditer(text) if m[0] and trigger.search(m[0])]
+def name_parts(name: str) -> list[tuple[str, str]]:
+    """``(what, part)``: the family name and the given characters of a Chinese name, the words of another."""
+    if not re.match(H, name):
+        return [("western", w) for w in re.findall(r"[A-Za-zÀ-ɏ]+", name) if len(w) > 1 and w[0].isupper()]
+    cut = 2 if name[:2] in COMPOUND and len(name) > 2 else 1
+    return [("family", name[:cut]), *(("given", c) for c in name[cut:])]
 
 
-def cue_spans(text: str) -> list[tuple[int, int, str]]:
-    """Mentions that their form or an unmistakable cue gives away."""
+def cue_spans(text: str, known: tuple[re.Pattern, ...] = ()) -> list[tuple[int, int, str]]:
+    """Mentions that their form or an unmistakable cue gives away; ``known``: cues for names of known parts."""
     out = [(m.start(), m.end(), "email") for m in EMAIL.finditer(text)]
     for kind, pattern in (("id_number", IDENTITY), ("phone", PHONE)):
         for m in pattern.finditer(text):
@@ -370,7 +638,7 @@ def cue_spans(text: str) -> list[tuple[int, int, str]]:
             if ADDRESS.fullmatch(text, start, m.end()):
                 out.append((start, m.end(), "address"))
     out += [(m.start(), m.end(), "address") for m in WESTERN_ADDRESS.finditer(text)]
-    for cue in CUES:
+    for cue in (*_compiled(), *known):
         out += [(m.start(1), m.end(1), "name") for m in cue.finditer(text)]
     out.sort(key=lambda s: (s[0], -s[1]))
     kept: list[tuple[int, int, str]] = []
@@ -403,21 +671,51 @@ def checked(text: str, start: int, end: int, kind: str, within: tuple[int, int])
     return best[1:] if best else None
 
 
+def _doubtful(text: str, spans: list[tuple[int, int, str]], known: re.Pattern | None) -> list[tuple[int, int]]:
+    """Places that look like a name of known parts although no cue marks them: nothing is learned from their sentences."""
+    if known is None:
+        return []
+    return [m.span() for m in known.finditer(text) if not any(a <= m.start() < b for a, b, _ in spans)]
+
+
+def name_statistics(docs: DataFrame, text: str) -> pd.DataFrame:
+    """Rows ``(what, part, n)``: parts of the names that cues mark in all texts, and how many names have each.
+
+    The parts are characters and words above a share of all names, so their number is bounded by that share.
+    """
+    names: Column = F.flatten(F.array(*[F.regexp_extract_all(F.col(text), F.lit(c), F.lit(1)) for c in CUES]))
+    found = docs.filter(F.col(text).isNotNull()).select(F.explode(names).alias("name")).groupBy("name").agg(F.count("*").alias("n"))
+
+    def cut(batches):
+        for batch in batches:
+            rows = [(*p, n) for name, n in zip(batch["name"], batch["n"]) for p in name_parts(name)]
+            yield pd.DataFrame(rows, columns=["what", "part", "n"])
+
+    parts = found.mapInPandas(cut, "what string, part string, n bigint").groupBy("what", "part").agg(F.sum("n").alias("n"))
+    whole = parts.groupBy("what").agg(F.sum("n").alias("_all"))
+    least = F.greatest(F.lit(NAME_PART), NAME_PART_SHARE * F.col("_all"))
+    return parts.join(whole, "what").filter(F.col("n") >= least).select("what", "part", "n").toPandas()
+
+
 def fit_tagger(docs: DataFrame, text: str, most: int = FIT_DOCUMENTS) -> Tagger:
-    """A tagger fitted to at most ``most`` texts, those with the least hashes (of 4,000 characters or fewer)."""
-    picked = docs.select(F.col(text).alias("text")).filter(F.length("text").between(10, 4000)).distinct()
-    rows = picked.orderBy(F.xxhash64("text"), "text").limit(most).collect()
-    return Tagger().fit([r["text"] for r in rows])
+    """A tagger fitted to at most ``most`` texts, those with the least hashes; parts of names are counted over all texts."""
+    tagger = Tagger()
+    tagger.learn_names(name_statistics(docs, text))
+    short = docs.select(F.col(text).alias("text")).filter(F.length("text").between(10, 4000))
+    rows = bounded_rows(short, "text", most, docs.count()).collect()
+    return tagger.fit([r["text"] for r in rows])
 
 
 def find_mentions(docs: DataFrame, key: str, text: str, tagger: Tagger) -> DataFrame:
     """Rows ``(key, kind, start_pos, end_pos, mention)``; null and empty texts give none, long ones are searched whole."""
-    sent = docs.sparkSession.sparkContext.broadcast(tagger)  # bounded by the fitting sample
+    sent = docs.sparkSession.sparkContext.broadcast(tagger)  # a weight table of fixed size and the name parts
     slim = spread(docs.select(key, text).filter(F.length(text) > 0))
 
     def run(batches):
         for batch in batches:
-            rows = [(k, kind, a, b, t[a:b]) for k, t in zip(batch[key], batch[text]) for a, b, kind in sent.value.mentions(t)]
+            texts = batch[text].tolist()
+            found = sent.value.mentions_of(texts)
+            rows = [(k, kind, a, b, t[a:b]) for k, t, own in zip(batch[key].tolist(), texts, found) for a, b, kind in own]
             yield pd.DataFrame(rows, columns=[key, "kind", "start_pos", "end_pos", "mention"])
 
     return slim.mapInPandas(run, f"`{key}` {slim.schema[key].dataType.simpleString()}, kind string, start_pos bigint, end_pos bigint, mention string")
@@ -427,14 +725,16 @@ def redact(docs: DataFrame, key: str, text: str, tagger: Tagger) -> DataFrame:
     """Rows ``(key, text)`` with every mention replaced by a placeholder such as ``[NAME]``; null texts stay null."""
     sent = docs.sparkSession.sparkContext.broadcast(tagger)
 
-    def hide(document: str | None) -> str | None:
-        for start, end, kind in reversed(sent.value.mentions(document or "")):
+    def hide(document: str | None, found: list[tuple[int, int, str]]) -> str | None:
+        for start, end, kind in reversed(found):
             document = f"{document[:start]}[{kind.upper()}]{document[end:]}"
         return document
 
     def run(batches):
         for batch in batches:
-            yield batch.assign(**{text: batch[text].map(hide)})
+            texts = batch[text].tolist()
+            found = sent.value.mentions_of([t or "" for t in texts])
+            yield batch.assign(**{text: pd.Series([hide(t, own) for t, own in zip(texts, found)], dtype="object", index=batch.index)})
 
     slim = spread(docs.select(key, text))
     return slim.mapInPandas(run, slim.schema)

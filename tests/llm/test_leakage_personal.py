@@ -19,7 +19,7 @@ def test_block_max_wand_matches_exhaustive_scores():
     from quillsieve.llm import leakage
 
     for _ in range(60):
-        terms = rng.sample(range(len(index.terms)), min(len(index.terms), 80))
+        terms = rng.sample(range(len(index.keys)), min(len(index.keys), 80))
         scores = [0.0] * len(items)
         for t in terms:
             for item, impact in zip(index.ids[t], index.impacts[t]):
@@ -54,7 +54,34 @@ def test_leaks(spark):
     assert found == {(k, whole[0]) for k in (1, 2, 3, 6, 7, 10, 11)}
     assert find_leaks(docs.limit(0), "doc_id", "text", asked).count() == 0
     assert find_leaks(docs, "doc_id", "text", asked.limit(0)).count() == 0
-    assert search(ItemIndex(items, {}), "") == [] and tokens("ＡＢ12，中", {}) == ["ab", "0", "中"]
+    assert search(ItemIndex(items, {}), "") == [] and tokens("ＡＢ12，中", {}) == tokens("ab 7 中", {})
+    assert len(tokens("ＡＢ12，中", {})) == 3 and len(tokens("кожа и дыхание", {})) == 3
+
+
+def test_long_and_short_items(spark):
+    rng = random.Random(4)
+    letters = "证候辨治肝肾脾胃血气阴阳寒热虚实表里痰湿舌脉苔弦滑沉细数迟浮紧川芎当归白术茯苓甘草柴胡"
+    make = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    long, short = make(1500), "血府逐瘀"
+    noise = lambda n: "".join(rng.choice("今日天晴风和市场街道人来往买卖菜果米面油盐") for _ in range(n))
+    changed = "".join("药" if k % 40 == 7 else c for k, c in enumerate(long))
+    cases = {1: noise(90) + long, 2: noise(300) + long[200:1010] + noise(70), 3: long[:500] + noise(300), 4: changed, 5: "用血府逐瘀湯治之", 6: "血府，逐", 7: long[:300] + noise(50) + long[300:600]}
+    docs = spark.createDataFrame(list(cases.items()), "doc_id bigint, text string")
+    asked = spark.createDataFrame([("long", long), ("short", short)], "item_id string, text string")
+    found = {(r.doc_id, r.item_id) for r in find_leaks(docs, "doc_id", "text", asked).collect()}
+    assert found == {(1, "long"), (2, "long"), (4, "long"), (5, "short")}
+
+
+def test_several_indexes_give_the_rows_of_one(spark, monkeypatch):
+    from quillsieve.llm import leakage
+
+    rng = random.Random(5)
+    items = _items(rng, 90)
+    docs = spark.createDataFrame([(k, "市场街道" * 9 + t[: rng.randrange(20, 60)] + "买卖菜果" * 5) for k, (_, t) in enumerate(items)], "doc_id bigint, text string")
+    asked = spark.createDataFrame(items, "item_id string, text string")
+    once = sorted(find_leaks(docs, "doc_id", "text", asked).collect())
+    monkeypatch.setattr(leakage, "INDEX_ITEMS", 25)
+    assert once and sorted(find_leaks(docs, "doc_id", "text", asked).collect()) == once
 
 
 FAMILY, GIVEN = "沈梁霍段阮", "砚荞璟湉骁昶"
@@ -110,16 +137,49 @@ def test_forms():
     assert checked("国药准字Z20983591", 4, 13, "phone", (0, 13)) is None
 
 
-def test_phone_separators_and_triggers():
-    from quillsieve.llm.personal import ADDRESS_TAIL, IDENTITY, PHONE, TRIGGER, cut_sentences
+def test_phone_separators_and_forms():
+    from quillsieve.llm.personal import ADDRESS_TAIL, IDENTITY, PHONE
 
     for said in ("209.555.0160", "+1.209.555.0160", "(209).555.0160", "138.1234.5678", "138·1234·5678", "0571.8888.1234", "209–555–0160"):
         text = f"Please call {said}."
         at = text.index(said)
-        assert cut_sentences(text, TRIGGER), said
         assert checked(text, at, at + len(said), "phone", (0, len(text))) == (at, at + len(said)), said
         assert (at, at + len(said), "phone") in cue_spans(text), said
     for other in ("0.13812345678", "1.209.555.0160", "209.555.0160.5", "v192.168.10.24"):
         assert not PHONE.search(other), other
     for form, said in ((ADDRESS_TAIL, "柳荫胡同5号"), (ADDRESS_TAIL, "安居家园3-2"), (ADDRESS_TAIL, "和平公寓7栋"), (ADDRESS_TAIL, "青山镇柳树村8号"), (ADDRESS_TAIL, "青山镇柳树村"), (IDENTITY, "123-45-6789")):
-        assert form.search(said) and TRIGGER.search(said), said
+        assert form.search(said), said
+
+
+def test_western_names():
+    from quillsieve.llm.personal import WESTERN_NAME
+
+    for said in ("José García", "Anne-Marie Dupont", "Ludwig van Beethoven", "J. Müller", "María de la Cruz", "Tessin, Orla"):
+        assert checked(said, 0, len(said), "name", (0, len(said))) == (0, len(said)), said
+    assert not WESTERN_NAME.fullmatch("the dose")
+
+
+def test_sentences_left_out_of_the_chains_hold_no_mention():
+    import numpy as np
+
+    from quillsieve.llm.personal import _Tokens
+
+    rng = random.Random(8)
+    tagger = Tagger().fit([_document(rng)[0] for _ in range(300)])
+    tokens = _Tokens([_document(rng)[0] + "今日天晴，风和日丽。街道 12 号市场！" for _ in range(200)])
+    rows = tagger._features(tokens)
+    unary = tagger._unary(rows)
+    none = np.zeros(len(tokens.real), dtype=np.float32)
+    first = tagger._first_bound(tokens, rows, none)
+    second = tagger._second_bound(tokens, np.ones(len(first), dtype=bool), unary, none)
+    labels = tagger._best(unary, tokens.sentence_begin, tokens.sentence_size)
+    holds = np.maximum.reduceat(labels > 0, tokens.sentence_begin - 2)
+    assert holds.any() and not (holds & ~first).any() and not (holds & ~second).any() and second.mean() < 0.9
+
+
+def test_names_are_counted_over_all_texts(spark):
+    from quillsieve.llm.personal import name_statistics
+
+    rows = [(k, f"联系人：{_name(random.Random(k))}，电话13800000000。") for k in range(300)] + [(1000, None), (1001, "")]
+    found = name_statistics(spark.createDataFrame(rows, "doc_id bigint, text string"), "text")
+    assert set(found.loc[found["what"] == "family", "part"]) == set(FAMILY) and set(found.loc[found["what"] == "given", "part"]) == set(GIVEN)
