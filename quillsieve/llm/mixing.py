@@ -12,11 +12,16 @@ from pyspark.sql import functions as F
 
 from quillsieve.operators.ranks import running_sum
 
-#: Hash buckets that the documents of one source are ordered in, and slices of the merged order.
-ORDER_BUCKETS = 256
+#: Documents of one bucket of a source's order, and of one slice of the merged order, about; and the fewest of either.
+BUCKET_ROWS, LEAST_BUCKETS = 200_000, 64
 SEED = 42
 
 
+def _buckets(rows: int) -> int:
+    """A power of two: as many ranges as keep each at about ``BUCKET_ROWS``; the order doesn't depend on it."""
+    return 1 << max(LEAST_BUCKETS - 1, rows // BUCKET_ROWS).bit_length()
+
+
 def _horizon(labels: list[dict], budget: float) -> float:
     """The virtual time at which the served total reaches the budget: sources serve at their weight until exhausted."""
     ends = sorted({label["available"] / label["weight"] for label in labels})
@@ -44,7 +49,8 @@ def queue(pool: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
     totals = sized.groupBy("mix_id").agg(F.sum("size").alias("pool_chars"))
     mixed = sized.join(F.broadcast(targets.select("mix_id", "label")), ["mix_id", "label"], "left_semi")
     mixed = mixed.withColumn("_hash", F.xxhash64(F.lit(SEED), "mix_id", "label", "rec_id"))
-    mixed = mixed.withColumn("_bucket", F.pmod(F.shiftrightunsigned("_hash", 16), F.lit(ORDER_BUCKETS)))
+    # buckets are ranges of the hash
+    mixed = mixed.withColumn("_bucket", F.shiftrightunsigned("_hash", 65 - _buckets(pool.count()).bit_length()))
     documents = running_sum(mixed, ["mix_id", "label"], "_bucket", ["_hash", "rec_id"], F.col("size"), "finished")
     documents = documents.drop("_bucket")
     whole = documents.groupBy("mix_id", "label").agg(F.max("finished").alias("chars"), F.count("*").alias("records"))
@@ -55,19 +61,30 @@ def queue(pool: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
     return documents, state.withColumn("demanded", F.col("target_share") * F.col("budget_ratio") * F.col("pool_chars"))
 
 
-def unmet(state: DataFrame) -> DataFrame:
-    """Targets that no schedule can meet: all repeats of a source finish before its share of the budget is served."""
-    return state.filter(F.col("available") < F.col("demanded")).select("mix_id", "label")
+def unmet(mixed: DataFrame, state: DataFrame) -> DataFrame:
+    """Targets that the schedule can't meet: all repeats of a source are served and it is still below its share of the budget.
+
+    Sources without documents are exhausted from the start.
+    """
+    served = mixed.groupBy("mix_id", "label").agg(F.sum("size").alias("served"))
+    ends = state.join(served, ["mix_id", "label"], "left").na.fill(0, ["served"])
+    return ends.filter((F.col("served") >= F.col("available")) & (F.col("served") < F.col("demanded"))).select("mix_id", "label")
 
 
 def mix(pool: DataFrame, targets: DataFrame) -> DataFrame:
-    """Rows ``(mix_id, label, rec_id, copy, size, virtual_finish, total)`` in the mix; ``total`` runs to the budget.
+    """The mix alone; see ``schedule``."""
+    return schedule(pool, targets)[0]
+
+
+def schedule(pool: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The mix and the state of each source.  The mix has rows ``(mix_id, label, rec_id, copy, size, virtual_finish, total)`` in the mix; ``total`` runs to the budget.
 
     Ties in virtual finish time are broken by label, record and copy.  Records of size 0 come at most once.  The table
     of sources is collected to the driver to find the horizon; it has one row per target.
     """
     documents, state = queue(pool, targets)
     rows = [r.asDict() for r in state.collect()]  # one row per target
+    state = documents.sparkSession.createDataFrame(rows, state.schema)
     plan = []
     for mix_id in sorted({r["mix_id"] for r in rows}):
         own = [r for r in rows if r["mix_id"] == mix_id and r["available"] > 0 and r["target_share"] > 0]
@@ -85,12 +102,12 @@ def mix(pool: DataFrame, targets: DataFrame) -> DataFrame:
     queued = queued.withColumn("virtual_finish", finish)
     # of each source at most one document is being served at the horizon; whatever starts later can't be in the mix
     queued = queued.filter(F.col("virtual_finish") - F.col("size") / F.col("weight") <= F.col("horizon"))
-    slices = F.floor(F.col("virtual_finish") / F.col("horizon") * ORDER_BUCKETS)
+    slices = F.floor(F.col("virtual_finish") / F.col("horizon") * _buckets(sum(r["records"] for r in rows)))
     queued = queued.withColumn("_slice", F.coalesce(slices, F.lit(0)))
     order = ["virtual_finish", "label", "rec_id", "copy"]
     served = running_sum(queued, ["mix_id"], "_slice", order, F.col("size"), "total")
     served = served.filter(F.col("total") <= F.col("budget"))
-    return served.select("mix_id", "label", "rec_id", "copy", "size", "virtual_finish", "total")
+    return served.select("mix_id", "label", "rec_id", "copy", "size", "virtual_finish", "total"), state
 
 
 def shares(mixed: DataFrame, state: DataFrame) -> DataFrame:

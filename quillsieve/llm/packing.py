@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from quillsieve.operators.ranks import running_sum
 
-#: Buckets that the documents of one size are ranked in.
-RANK_BUCKETS = 64
+#: Documents of one size that are ranked in one bucket, about, and the fewest buckets.
+BUCKET_ROWS, LEAST_BUCKETS = 200_000, 64
 
 
 def plan_bins(counts: dict[int, int], capacity: int) -> list[tuple[int, tuple[int, ...]]]:
@@ -85,10 +85,9 @@ def pack(docs: DataFrame, key: str, size: Column, capacity: int) -> DataFrame:
     """Rows ``(key, piece, pieces, size, start, bin, place)``: where each document, or each piece of an oversized one, goes.
 
     ``start`` is the offset of the piece in tokens.  Documents without a size (null) are left out; those of size 0 take
-    no room and have ``bin`` -1.  Planned bins are numbered from 0.  ``bin`` is null for a piece that fills a bin alone
-    (the full pieces of oversized documents and items of exactly the capacity).  Equal sizes are ranked by the hash of
-    the key and the key itself, so the result doesn't depend on the partitioning; ``key`` must be unique.  An empty
-    table gives no rows.
+    no room and have ``bin`` -1.  Bins are numbered from 0; the full pieces of oversized documents and items of exactly
+    the capacity are planned like the others and get a bin each.  Equal sizes are ranked by the hash of the key and the
+    key itself, so the result doesn't depend on the partitioning; ``key`` must be unique.  An empty table gives no rows.
     """
     if capacity < 1:
         raise ValueError("the capacity must be positive")
@@ -99,15 +98,17 @@ def pack(docs: DataFrame, key: str, size: Column, capacity: int) -> DataFrame:
     cut = sized.withColumn("pieces", pieces).select("*", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"))
     cut = cut.withColumn("start", F.col("piece").cast("bigint") * capacity)
     cut = cut.withColumn("size", F.least(F.lit(capacity), F.col("total") - F.col("start")))
-    fixed = (F.col("size") == capacity) | (F.col("size") == 0)
-    planned = cut.filter(~fixed).withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(RANK_BUCKETS)))
-    # at most `capacity` rows: the sizes below it
+    planned = cut.filter(F.col("size") > 0)
+    # at most `capacity` rows: the sizes up to it
     counts = {int(r["size"]): int(r["count"]) for r in planned.groupBy("size").count().collect()}
     slots = _slots(plan_bins(counts, capacity))
     by_size = {int(k): v.reset_index(drop=True) for k, v in slots.groupby("size")} if len(slots) else {}
     lookup = {k: tuple(v[c].to_numpy() for c in ("first_rank", "each", "first_bin", "place")) for k, v in by_size.items()}
-    ranked = running_sum(planned, ["size"], "_bucket", [key, "piece"], F.lit(1), "_rank").drop("_bucket")
-    sent = docs.sparkSession.sparkContext.broadcast(lookup)  # a few numbers per size below the capacity
+    # buckets are ranges of the hash, so the ranks don't depend on their number
+    buckets = 1 << max(LEAST_BUCKETS - 1, max(counts.values(), default=0) // BUCKET_ROWS).bit_length()
+    planned = planned.withColumn("_hash", F.xxhash64(key)).withColumn("_bucket", F.shiftrightunsigned("_hash", 65 - buckets.bit_length()))
+    ranked = running_sum(planned, ["size"], "_bucket", ["_hash", key, "piece"], F.lit(1), "_rank").drop("_bucket", "_hash")
+    sent = docs.sparkSession.sparkContext.broadcast(lookup)  # a few numbers per size up to the capacity
 
     def place_bins(batches):
         for batch in batches:
@@ -124,15 +125,20 @@ def pack(docs: DataFrame, key: str, size: Column, capacity: int) -> DataFrame:
     columns = [key, "piece", "pieces", "size", "start"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.select(*columns).schema)
     placed = ranked.select(*columns, "_rank").mapInPandas(place_bins, f"{schema}, bin bigint, place bigint")
-    alone = cut.filter(fixed).select(*columns).withColumn("bin", F.when(F.col("size") == 0, F.lit(-1)).cast("bigint"))
-    return placed.unionByName(alone.withColumn("place", F.lit(0).cast("bigint")))
+    empty = cut.filter(F.col("size") == 0).select(*columns, F.lit(-1).cast("bigint").alias("bin"), F.lit(0).cast("bigint").alias("place"))
+    return placed.unionByName(empty)
+
+
+def oversized(packed: DataFrame, key: str) -> DataFrame:
+    """The documents that the plan gave more than one slot, in column ``key``."""
+    return packed.filter((F.col("bin") >= 0) & (F.col("pieces") > 1) & (F.col("piece") == 0)).select(key)
 
 
 def fill_report(packed: DataFrame, capacity: int) -> DataFrame:
     """One row: bins, tokens, their lower bound and the share of room left unused."""
     shared = F.when(F.col("bin") >= 0, F.col("bin"))
     total = packed.filter(F.col("size") > 0).agg(
-        (F.count_distinct(shared) + F.count_if(F.col("bin").isNull())).alias("bins"),
+        F.count_distinct(shared).alias("bins"),
         F.sum("size").cast("bigint").alias("tokens"),
     )
     total = total.withColumn("least_bins", F.ceil(F.col("tokens") / capacity))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillsieve.llm.mixing import mix, queue, shares, unmet
+from quillsieve.llm.mixing import mix, schedule, shares, unmet
 from quillsieve.session import table
 
 
@@ -48,13 +48,13 @@ def _as_written(df: DataFrame, written: DataFrame) -> DataFrame:
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     """Targets that cannot be met."""
     pool, targets, written = _inputs(spark, folder)
-    return _as_written(unmet(queue(pool, targets)[1]), written)
+    return _as_written(unmet(*schedule(pool, targets)), written)
 
 
 def p2_shares(spark: SparkSession, folder: str) -> DataFrame:
     """Shares asked for and reached, for each target."""
     pool, targets, written = _inputs(spark, folder)
-    return _as_written(shares(mix(pool, targets), queue(pool, targets)[1]), written)
+    return _as_written(shares(*schedule(pool, targets)), written)
 
 
 def p2_mix(spark: SparkSession, folder: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillsieve.llm.packing import fill_report, pack
+from quillsieve.llm.packing import fill_report, oversized, pack
 from quillsieve.session import table
 
 
@@ -17,7 +17,7 @@ def _packed(spark: SparkSession, folder: str) -> tuple[DataFrame, int]:
 
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     """Documents larger than a bin: those the operator had to cut."""
-    return _packed(spark, folder)[0].filter((F.col("pieces") > 1) & (F.col("piece") == 0)).select("doc_id")
+    return oversized(_packed(spark, folder)[0], "doc_id")
 
 
 def p7_bins(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quillsieve.llm.mixing import mix, queue, shares, unmet
+from quillsieve.llm.mixing import mix, queue, schedule, shares, unmet
 from quillsieve.llm.packing import fill_report, pack, plan_bins
 
 
@@ -71,7 +71,7 @@ def test_mix(spark):
     assert sum(used.values()) > 0.2 * total - 40
     assert len({(r.rec_id, r.copy) for r in served}) == len(served)
     state = queue(pool, targets)[1]
-    assert {r.label for r in unmet(state).collect()} == {"small", "absent"}
+    assert {r.label for r in unmet(*schedule(pool, targets)).collect()} == {"small", "absent"}
     report = {r.label: r for r in shares(mix(pool, targets), state).collect()}
     assert report["small"].most_copies == 3 and report["absent"].used_chars == 0
 
@@ -88,6 +88,34 @@ def test_mix_keeps_weights_at_any_moment(spark):
         assert abs(order[:at].count("a") / at - 0.75) < 0.05
 
 
+def test_the_order_does_not_depend_on_the_buckets(spark, monkeypatch):
+    from quillsieve.llm import mixing, packing
+
+    pool, targets, _ = _mixing(spark)
+    docs = spark.createDataFrame([(i, 30 if i % 3 else 70) for i in range(500)], "id int, size int")
+    rows = lambda df: sorted(map(str, df.collect()))
+    mixed, packed = rows(mix(pool, targets)), rows(pack(docs, "id", F.col("size"), 100))
+    for module in (mixing, packing):
+        monkeypatch.setattr(module, "BUCKET_ROWS", 3)
+    assert rows(mix(pool, targets)) == mixed and rows(pack(docs, "id", F.col("size"), 100)) == packed
+
+
+def test_found_rows_come_through_the_operators(spark, monkeypatch):
+    """The queries fail if the schedule and the plan are stubbed."""
+    import pytest
+
+    from quillsieve.llm import q_mixing, q_packing
+
+    def stub(*_, **__):
+        raise RuntimeError("stub")
+
+    monkeypatch.setattr(q_mixing, "schedule", stub)
+    monkeypatch.setattr(q_packing, "pack", stub)
+    for query in (q_mixing.p2_found, q_packing.p7_found):
+        with pytest.raises(RuntimeError, match="stub"):
+            query(spark, "/root/testdata/sf0.001")
+
+
 def test_mix_of_nothing(spark):
     pool, targets, _ = _mixing(spark)
     assert mix(pool.limit(0), targets).count() == 0
