@@ -1,8 +1,8 @@
 """Texts that break off before their end.
 
 Two kinds of evidence are combined.  *Lengths*: the length of each text is computed as it would be under several storage
-encodings (characters, UTF-8 bytes, UTF-16 units, GB18030 bytes, with entities escaped, JSON-escaped, JSON-escaped to
-ASCII, with CR LF line ends); where the texts of a source pile up at the largest value under one of them, that value is a
+encodings (characters, UTF-8 bytes, UTF-16 units, GB18030 bytes, with entities escaped, quotes too or not, JSON-escaped, JSON-escaped
+to ASCII, with CR LF line ends); where the texts of a source pile up at the largest value under one of them, that value is a
 hidden limit, and unfinished texts at it were cut there.  *Endings*: the end of each text is inspected for characters cut in
 half, open tags, entities and brackets, marks that stand for missing text, and clauses without a stop.  Finished texts
 without a stop are known from the corpus itself: question tails from texts that do end in a stop, closing lines from how
@@ -13,6 +13,8 @@ All of it is DataFrame expressions; no Python touches the texts.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,6 +50,15 @@ def _count(text: Column, chars: str) -> Column:
     return F.length(text) - F.length(F.translate(text, chars, ""))
 
 
+@lru_cache(maxsize=1)
+def _two_bytes() -> str:
+    """A character class of what GB18030 writes in two bytes."""
+    wide = [code for code in range(0x80, 0x10000) if not 0xD800 <= code < 0xE000 and len(chr(code).encode("gb18030")) == 2]
+    starts = [c for c, before in zip(wide, [0, *wide]) if c != before + 1]
+    ends = [c for c, after in zip(wide, [*wide[1:], 0]) if c != after - 1]
+    return "[" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in zip(starts, ends)) + "]+"
+
+
 def encoded_lengths(text: Column) -> dict[str, Column]:
     """The length of a text under each encoding, the plainest first."""
     size, octets = F.length(text), F.octet_length(text)
@@ -55,17 +66,22 @@ def encoded_lengths(text: Column) -> dict[str, Column]:
     escaped = _count(text, '"\\\n\r\t')
     ascii_only = F.length(F.regexp_replace(text, r"[^\x00-\x7F]+", ""))
     lines = _count(text, "\n")
+    quotes = _count(text, '"') * 5 + _count(text, "'") * 4
+    rare = F.regexp_replace(text, r"[\x00-\x7F\x{4E00}-\x{9FA5}\x{3001}\x{3002}\x{FF01}-\x{FF5E}]+", "")
+    four = F.length(F.regexp_replace(rare, _two_bytes(), ""))
     return {
         "characters": size,
         "utf8_bytes": octets,
         "utf16_units": size + F.length(F.regexp_replace(text, r"[^\x{10000}-\x{10FFFF}]+", "")),
-        "gb18030_bytes": ascii_only + (size - ascii_only) * 2,
+        "gb18030_bytes": ascii_only + (size - ascii_only) * 2 + four * 2,
         "entity_characters": size + wide,
         "entity_bytes": octets + wide,
         "json_characters": size + escaped,
         "json_ascii": ascii_only + escaped + (size - ascii_only) * 6,
         "crlf_characters": size + lines,
         "crlf_bytes": octets + lines,
+        "entity_quoted_characters": size + wide + quotes,
+        "entity_quoted_bytes": octets + wide + quotes,
     }
 
 
@@ -73,37 +89,43 @@ def _last_line(trimmed: Column) -> Column:
     return F.substring_index(trimmed, "\n", -1)
 
 
-def _tail(trimmed: Column) -> Column:
-    """The end of a text behind all stops and closing marks, digits as 0: four characters, or eight in Latin script."""
-    bare = F.regexp_replace(F.right(trimmed, F.lit(24)), r"[\p{P}\p{S}\s\p{Z}]+$", "")
-    bare = F.lower(F.regexp_replace(bare, r"\d", "0"))
-    return F.when(bare.rlike(r"[A-Za-zÀ-ÿ]$"), F.right(bare, F.lit(8))).otherwise(F.right(bare, F.lit(4)))
+def _with_tail(states: DataFrame) -> DataFrame:
+    """Adds ``tail``: the end of a text behind all stops and closing marks, digits as 0: four characters, or eight in Latin script.
+
+    Only where it is asked for: in open texts and in questions that end in a stop.  Every step is a column of its own, so
+    it is computed once.
+    """
+    marks = r"[\p{P}\p{S}\s\p{Z}]+$"
+    asked = (F.col("ending") == "open") | ((F.col("ending") == "stop") & (F.col("role") == "user"))
+    near = F.when(asked, F.regexp_replace(F.right("trimmed", F.lit(24)), marks, ""))
+    bare = F.when(F.length("_near") >= 8, F.col("_near")).when(asked, F.regexp_replace("trimmed", marks, ""))
+    out = states.withColumn("_near", near).withColumn("_bare", bare)
+    out = out.withColumn("_bare", F.right(F.lower(F.regexp_replace(F.right("_bare", F.lit(8)), r"\d", "0")), F.lit(8)))
+    latin = F.right("_bare", F.lit(1)).rlike("[A-Za-zÀ-ÿ]")
+    return out.withColumn("tail", F.when(latin, F.col("_bare")).otherwise(F.right("_bare", F.lit(4)))).drop("_near", "_bare")
+
+
+def _end(trimmed: Column) -> Column:
+    """The end of a text as far as endings can reach: more than 48 characters only for closing marks or a bracket that opened earlier."""
+    near = F.right(trimmed, F.lit(48))
+    further = near.rlike(f"^{CLOSERS}$") | (near.rlike(r"[）)\]]$") & ~near.rlike(r"[（(\[]"))
+    return F.when(further, trimmed).otherwise(near)
 
 
 def inspected(texts: DataFrame) -> DataFrame:
-    """What is known of each text by itself; unfinished texts keep their body, the others only what statistics need."""
-    trimmed = F.regexp_replace("text", r"[\s\p{Z}]+$", "")
-    end = F.right(F.col("trimmed"), F.lit(48))
-    line = F.right(_last_line(F.col("trimmed")), F.lit(400))
-    out = texts.withColumn("trimmed", trimmed).filter(F.col("trimmed") != "")
-    out = out.withColumn("end", end)
+    """What is known of each text by itself: the text without blanks behind it, its ending, tail and last line."""
+    blank = r"[\s\p{Z}]"
+    trimmed = F.when(F.right("text", F.lit(1)).rlike(blank), F.regexp_replace("text", f"{blank}+$", "")).otherwise(F.col("text"))
+    out = texts.withColumn("trimmed", trimmed).filter(F.col("trimmed") != "").withColumn("end", _end(F.col("trimmed")))
+    end = F.col("end")
     filled = ~F.col("trimmed").rlike(PLACEHOLDER) & ~F.col("trimmed").rlike(HEADING)
     open_think = (F.instr("trimmed", "<think>") > 0) & (F.instr("trimmed", "</think>") == 0)
-    cut = (
-        F.col("end").rlike(MISSING) | F.col("end").rlike(BROKEN) | F.col("end").rlike(DANGLING) | F.col("end").rlike(DIGIT_STOP) | open_think
-    )
-    return out.select(
-        "tbl",
-        "grp",
-        "role",
-        "rec_key",
-        "turn",
-        "trimmed",
-        F.when(~filled, "filled in").when(cut, "cut").when(F.col("end").rlike(FINISHED), "stop").otherwise("open").alias("ending"),
-        _tail(F.col("trimmed")).alias("tail"),
-        line.alias("line"),
-        F.contains(F.col("trimmed"), F.lit("\n")).alias("lines"),
-    )
+    plain_stop = F.right("trimmed", F.lit(2)).rlike(r"^[\p{L}\p{N}][。！？?!]$")  # most texts; the other tests can't overrule it
+    cut = end.rlike(MISSING) | end.rlike(BROKEN) | end.rlike(DANGLING) | end.rlike(DIGIT_STOP)
+    ending = F.when(~filled, "filled in").when(open_think, "cut").when(plain_stop, "stop").when(cut, "cut").when(end.rlike(FINISHED), "stop")
+    out = _with_tail(out.withColumn("ending", ending.otherwise("open")))
+    columns = ("tbl", "grp", "role", "rec_key", "turn", "trimmed", "ending", "tail")
+    return out.select(*columns, _last_line(F.col("trimmed")).alias("line"), F.contains("trimmed", F.lit("\n")).alias("lines"))
 
 
 def limits(states: DataFrame) -> DataFrame:
