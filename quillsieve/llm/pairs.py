@@ -3,7 +3,8 @@
 Five defects: an answer with no content, one that breaks off, a refusal, an answer that only repeats its question, and one
 written wholly in another language.  Copies are found by aligning the answer with the question (containment of shingles,
 then the longest common subsequence), refusals by aligning each of its clauses with refusal templates; languages by the
-byte model of ``language``.  Cheap tests rule out most pairs before an alignment; every pair is examined.
+byte model of ``language``.  Every pair is examined: containment is computed for all pairs of a batch at once, and only
+pairs that it rules out are not aligned, as are only clauses that share too few character pairs with every template.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import re
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -62,6 +64,42 @@ def _bare(text: str) -> str:
     return "".join(c for c in text.lower() if c.isalnum())
 
 
+@lru_cache(maxsize=1)
+def _letters() -> np.ndarray:
+    return np.array([chr(code).isalnum() for code in range(0x110000)])
+
+
+def _bare_all(texts: list[str]) -> list[str]:
+    """Every text in lower case without anything but letters and digits, whatever the layout."""
+    lowered = [t.lower() for t in texts]
+    codes = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    kept = _letters()[codes]
+    ends = np.concatenate([[0], np.cumsum(np.fromiter((len(t) for t in lowered), dtype=np.int64, count=len(lowered)))])
+    places = np.concatenate([[0], np.cumsum(kept)])[ends]
+    bare = codes[kept].tobytes().decode("utf-32-le", "surrogatepass")
+    return [bare[a:b] for a, b in zip(places, places[1:])]
+
+
+def _shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of all texts as integers that differ between texts, and the text of each."""
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    owner = np.repeat(np.arange(len(texts)), np.fromiter((len(t) for t in texts), dtype=np.int64, count=len(texts)))
+    mixed = np.zeros(max(0, len(codes) - SHINGLE + 1), dtype=np.uint64)
+    for k in range(SHINGLE):
+        mixed = (mixed << np.uint64(21)) | codes[k : k + len(mixed)]
+    inside = owner[: len(mixed)] == owner[SHINGLE - 1 :]
+    mixed, owner = mixed[inside], owner[: len(mixed)][inside]
+    mixed = (mixed ^ (owner.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return mixed, owner
+
+
+def contained(asked: list[str], said: list[str]) -> np.ndarray:
+    """How many shingles of each answer its question has, of bare texts."""
+    mine, _ = _shingles(asked)
+    own, owner = _shingles(said)
+    return np.bincount(owner, weights=np.isin(own, mine), minlength=len(said)).astype(np.int64)
+
+
 @lru_cache(maxsize=1)
 def _templates() -> tuple[list[tuple[str, set[str]]], list[tuple[str, set[str]]]]:
     def read(block: str) -> list[tuple[str, set[str]]]:
@@ -95,6 +133,34 @@ def _clause_kind(clause: str) -> str:
     return ""
 
 
+@lru_cache(maxsize=1)
+def _template_pairs() -> tuple[frozenset[str], int]:
+    """The character pairs of all templates, and the length beyond which a clause can't align with a single one."""
+    both = [t for templates in _templates() for t in templates]
+    return frozenset(p for _, own in both for p in own), int(max(len(t) for t, _ in both) / CLAUSE_COMMON)
+
+
+def _clause_kinds(clause: str) -> set[str]:
+    """The kinds of a bare clause, which may be several templates without a stop between them; {""} if a part is neither."""
+    known, longest = _template_pairs()
+    if len(clause) <= longest:
+        return {_clause_kind(clause)}
+    if sum(clause[i : i + 2] in known for i in range(len(clause) - 1)) < CLAUSE_COMMON / 2 * (len(clause) - 1):
+        return {""}
+    # places that templates laid one behind the other can reach, and the kinds on the way there
+    reached: dict[int, set[str]] = {0: set()}
+    for at in range(len(clause)):
+        if at not in reached:
+            continue
+        for kind, templates in zip(("refusal", "filler"), _templates()):
+            for template, own in templates:
+                part = clause[at : at + len(template)]
+                shared = sum(part[i : i + 2] in own for i in range(len(part) - 1))
+                if shared * 2 >= len(part) - 1 and common_length(part, template) >= CLAUSE_COMMON * len(part):
+                    reached.setdefault(at + len(part), set()).update(reached[at], {kind})
+    return reached.get(len(clause), {""})
+
+
 def is_refusal(answer: str) -> bool:
     """Whether every clause aligns with a refusal or with something said beside one, and at least one refuses."""
     refuses, start = False, 0
@@ -103,27 +169,33 @@ def is_refusal(answer: str) -> bool:
         bare = _bare(answer[start : stop.start() if stop else len(answer)])
         start = stop.end() if stop else len(answer)
         if bare:
-            kind = _clause_kind(bare) if len(bare) <= 120 else ""
-            if not kind:
+            kinds = _clause_kinds(bare)
+            if "" in kinds:
                 return False  # most answers end here, at their first clause
-            refuses |= kind == "refusal"
+            refuses |= "refusal" in kinds
     return refuses
 
 
-def is_copy(question: str, answer: str) -> bool:
-    """Whether the answer only repeats the question, once or several times, layout aside."""
-    asked, said = _bare(question), ECHO.sub("", _bare(answer))
+def _enough(asked: str, said: str, found: int) -> bool:
+    """Whether an answer has so many of its question's shingles that it may be a copy."""
     if len(asked) < 4 or len(said) < 4:
         return False
-    shingles = {asked[i : i + SHINGLE] for i in range(len(asked) - SHINGLE + 1)}
-    own = [said[i : i + SHINGLE] for i in range(len(said) - SHINGLE + 1)]
-    seam = (SHINGLE - 1) * (max(1, round(len(said) / len(asked))) - 1)
-    if sum(s in shingles for s in own) < COPY_CONTAINED * (len(own) - seam):
-        return False
+    seams = (SHINGLE - 1) * (max(1, round(len(said) / len(asked))) - 1)
+    return found >= COPY_CONTAINED * (len(said) - SHINGLE + 1 - seams)
+
+
+def _aligned(asked: str, said: str) -> bool:
+    """Whether the common subsequence of an answer and the question, repeated as often as it fits, makes it a copy."""
     parts = max(1, round(len(said) / len(asked)))
     return common_length(asked * parts, said) >= COPY_COMMON * max(len(said), 0.8 * len(asked) * parts)
 
 
+def is_copy(question: str, answer: str) -> bool:
+    """Whether the answer only repeats the question, once or several times, layout aside."""
+    asked, said = _bare(question), ECHO.sub("", _bare(answer))
+    return _enough(asked, said, int(contained([asked], [said])[0])) and _aligned(asked, said)
+
+
 def _asked_language(question: str) -> str | None:
     lower = question.lower()
     for code, pattern in ASKED:
@@ -137,26 +209,19 @@ EMPTY = re.compile(
     r"(?i)[\W_]*(?:null|none|nil|n/?a|nan|undefined|tbd|todo|无|暂无|空|略|待补充|没有"
     r"|答|回答|答案|解答|回复|答复|解析|正文|answer|response|reply|antwort|réponse|respuesta|回答文|답|답변|답안|解答例)?[\W_]*"
 )
-KANA, HANGUL, HAN = re.compile(r"[ぁ-ヺ]{2}"), re.compile(r"[가-힣]{2}"), re.compile(r"[㐀-鿿]{3}")
+KANA, HANGUL, HAN, OTHER = re.compile(r"[ぁ-ヺ]{2}"), re.compile(r"[가-힣]{2}"), re.compile(r"[㐀-鿿]{3}"), re.compile(r"[\u0370-\u1fff]{3}")
 LATIN = re.compile(r"[A-Za-zÀ-ɏ'’]+ [A-Za-zÀ-ɏ'’]+ [a-zÀ-ɏ'’]+")
-WORDS = re.compile(r"\w+")
+#: Scripts that one language is written in, so texts wholly in the same one need no scoring.
+ONE_LANGUAGE = frozenset({("kana",), ("hangul",), ("han",)})
 
 
-def _scripts(text: str) -> str:
-    """A coarse class that costs no alignment: texts of one class may still differ in language."""
+def _scripts(text: str) -> tuple[str, ...]:
+    """The scripts that running text of these letters is in."""
     if KANA.search(text):
-        return "kana" + (" latin" if LATIN.search(text) else "")
-    found = [name for name, pattern in (("hangul", HANGUL), ("han", HAN), ("latin", LATIN)) if pattern.search(text)]
-    return " ".join(found)
-
-
-def _may_copy(question: str, answer: str) -> bool:
-    """Whether a copy can't be ruled out: the answer is short, or holds the longest word of the question."""
-    if len(answer) <= 1.6 * len(question) + 12:
-        return True
-    if len(answer) > 8 * len(question) + 40:
-        return False
-    return max(WORDS.findall(question.lower()), key=len, default="\0") in answer.lower()
+        found = ["kana", *(["hangul"] if HANGUL.search(text) else [])]
+    else:
+        found = [name for name, pattern in (("hangul", HANGUL), ("han", HAN)) if pattern.search(text)]
+    return tuple(found + [name for name, pattern in (("latin", LATIN), ("other", OTHER)) if pattern.search(text)])
 
 
 def defects(pairs: DataFrame, cut: DataFrame, model: LanguageModel) -> DataFrame:
@@ -172,6 +237,7 @@ def defects(pairs: DataFrame, cut: DataFrame, model: LanguageModel) -> DataFrame
         for batch in batches:
             found: list[tuple[int, str]] = []
             differ: list[tuple[int, str, str]] = []
+            asking: list[tuple[int, str, str]] = []
             for at, (question, answer) in enumerate(zip(batch["question"], batch["answer"])):
                 core = answer or ""
                 if "<think>" in core:
@@ -181,12 +247,16 @@ def defects(pairs: DataFrame, cut: DataFrame, model: LanguageModel) -> DataFrame
                     continue
                 if is_refusal(core):
                     found.append((at, "refusal"))
-                if not question or question.isspace():
-                    continue
-                if _may_copy(question, core) and is_copy(question, core):
+                if question and not question.isspace():
+                    asking.append((at, question, core))
+            asked = _bare_all([q for _, q, _ in asking])
+            said = [ECHO.sub("", t) for t in _bare_all([a for _, _, a in asking])]
+            shared = contained(asked, said)
+            for (at, question, core), bare_q, bare_a, common in zip(asking, asked, said, shared):
+                if _enough(bare_q, bare_a, int(common)) and _aligned(bare_q, bare_a):
                     found.append((at, "copies_question"))
-                asked, said = _scripts(question), _scripts(core)
-                if asked and said and (asked != said or asked == "latin"):
+                before, after = _scripts(question), _scripts(core)
+                if before and after and (before != after or before not in ONE_LANGUAGE):
                     differ.append((at, question, core))
             segments = segment_languages(sent.value, [q for _, q, _ in differ] + [a for _, _, a in differ])
             for place, (at, question, _) in enumerate(differ):

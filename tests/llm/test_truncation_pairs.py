@@ -92,6 +92,21 @@ def test_lengths_match_python(spark):
     row = spark.createDataFrame([(text,)], "t string").select(*[c.alias(k) for k, c in encoded_lengths(F.col("t")).items()]).first().asDict()
     assert row["characters"] == len(text) and row["utf8_bytes"] == len(text.encode()) and row["utf16_units"] == len(text.encode("utf-16-le")) // 2
     assert row["entity_characters"] == len(text) + 10 and row["json_characters"] == len(text) + 3 and row["crlf_bytes"] == len(text.encode()) + 1
+    assert row["entity_quoted_characters"] == len(text) + 15
+
+
+def test_gb18030_lengths_match_python(spark):
+    texts = ["中文 abc，。", "한국어 문장", "déjà vu — naïve", "Лекарство", "かな・カナ", "𠮷野家", "β受体①Ⅳ°℃", "㐀㚻"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select("t", encoded_lengths(F.col("t"))["gb18030_bytes"].alias("n")).collect()
+    assert {r.t: r.n for r in rows} == {t: len(t.encode("gb18030")) for t in texts}
+
+
+def test_long_endings(spark):
+    closers = "。" + "”）" * 40
+    rows = [("t", "s", "assistant", "closed", 1, "药" * 9 + closers), ("t", "s", "assistant", "note", 1, "药方剂量" + "（未完" + "甲" * 90 + "）"), ("t", "s", "assistant", "done", 1, "好。" + "（" + "甲" * 90 + "）。")]
+    found = {r.rec_key: r.evidence for r in judge(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert found == {"note": "mark"}
 
 
 def test_common_length_matches_the_table():
@@ -115,6 +130,12 @@ def test_refusals_and_copies():
         assert is_copy(question, answer)
     assert not is_copy(question, "您问的是体检发现乳酸偏低，需要马上处理吗。建议先复查血糖，再看肝功能。")
     assert not is_copy("好", "好")
+    assert is_copy(question, question * 20) and is_copy(question, "\n".join([question.replace("偏低", "偏 低")] * 20))
+    long = "体检发现乳酸偏低而血糖偏高肝功能又在正常范围近来夜里睡不好白天没精神想知道是否需要马上处理呢"
+    assert is_copy(long, long + long.replace("近来", "近日"))
+    whole = "很抱歉我无法回答这个问题请咨询专业医师" * 14
+    assert len(whole) > 200 and is_refusal(whole) and is_refusal("i'm sorry but i can't help with that request " * 6)
+    assert not is_refusal("我无法回答这个问题" * 9 + "不过乳酸偏低多与饮食有关可以先复查血糖再看肝功能是否正常")
 
 
 def test_defects(spark):
@@ -129,6 +150,8 @@ def test_defects(spark):
         ("t", "refusal", 1, question, "对不起，我不能提供任何诊疗建议。"),
         ("t", "language", 1, question, english),
         ("t", "asked", 1, "请用英文回答：" + question, english),
+        ("t", "foreign", 1, question, "Лекарство принимают после еды, курс две недели."),
+        ("t", "copies", 1, question, "\n".join([question] * 20)),
         ("t", "good", 1, question, "建议先复查血糖，再看肝功能。"),
         ("t", "no question", 1, None, "建议先复查血糖。"),
         ("t", "copy", 1, question, question),
@@ -137,8 +160,10 @@ def test_defects(spark):
     cut = spark.createDataFrame([("t", "good", 1)], "tbl string, rec_key string, turn bigint")
     found = sorted((r.rec_key, r.defect) for r in defects(pairs, cut, model).collect())
     assert found == [
+        ("copies", "copies_question"),
         ("copy", "copies_question"),
         ("empty", "empty_answer"),
+        ("foreign", "other_language"),
         ("good", "truncated_answer"),
         ("heading", "empty_answer"),
         ("language", "other_language"),
