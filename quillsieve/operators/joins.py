@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillsieve.operators.ranks import carry_over, in_ranges
+
+#: Terms of one automaton.
+AUTOMATON_TERMS = 100_000
+
 
 def asof_backward(left: DataFrame, right: DataFrame, by: str, left_at: str, right_at: str, value: str) -> DataFrame:
     """Each left row with the ``value`` of the latest right row of its key at or before it; before all, null.
 
-    Both sides are merged and sorted once per key and the last value is carried on: no pairs are formed.  A right row of
-    the same time counts as before.
+    Both sides are merged and sorted once in ranges of key and time, and the last value is carried on, from range to range
+    too: no pairs are formed and no key is one task.  A right row of the same time counts as before.
     """
     a = left.select("*", F.col(left_at).alias("_at"), F.lit(1).alias("_side"), F.lit(None).cast(right.schema[value].dataType).alias("_v"))
     b = right.select(F.col(by), F.col(right_at).alias("_at"), F.lit(0).alias("_side"), F.col(value).alias("_v"))
-    both = a.unionByName(b, allowMissingColumns=True)
-    carried = F.last("_v", ignorenulls=True).over(Window.partitionBy(by).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0))
-    return both.withColumn(value, carried).filter("_side = 1").drop("_at", "_side", "_v")
+    both = in_ranges(a.unionByName(b, allowMissingColumns=True), [by, "_at", "_side"])
+    carried = carry_over(both, by, F.col("_v"), value, forward=True)
+    return carried.filter("_side = 1").drop("_at", "_side", "_v")
 
 
 def band_join(left: DataFrame, right: DataFrame, left_at: str, right_at: str, width: int) -> DataFrame:
@@ -29,19 +35,53 @@ def band_join(left: DataFrame, right: DataFrame, left_at: str, right_at: str, wi
     return cut.join(own, (cut["_cell"] == own["_cell"]) & near).drop("_cell")
 
 
-def contained_terms(texts: DataFrame, key: str, text: str, terms: DataFrame, term: str, shortest: int) -> DataFrame:
-    """Pairs ``(key, term)`` where the text contains the term, without comparing all pairs.
+def contained_terms(texts: DataFrame, key: str, text: str, terms: DataFrame, term: str) -> DataFrame:
+    """Pairs ``(key, term)`` where the text contains the term, of any length, without comparing all pairs.
+
+    ``terms`` is a catalogue: its different values come to the driver and go out in automata of ``AUTOMATON_TERMS`` terms,
+    each of which reads every text once (Aho and Corasick).  Null texts and null or empty terms give no pairs; ``key``
+    must be unique.  The texts stay where they are.
+    """
+    listed = sorted(r["term"] for r in terms.select(F.col(term).alias("term")).filter("term <> ''").distinct().collect())
+    slim = texts.select(key, F.col(text).alias("_text")).filter(F.length("_text") > 0)
+    schema = f"`{key}` {slim.schema[key].dataType.simpleString()}, term string"
+    found = texts.sparkSession.createDataFrame([], schema)
+    for at in range(0, len(listed), AUTOMATON_TERMS):
+        sent = texts.sparkSession.sparkContext.broadcast(listed[at : at + AUTOMATON_TERMS])
+
+        def run(batches, sent=sent):
+            import ahocorasick
+
+            automaton = ahocorasick.Automaton()
+            for word in sent.value:
+                automaton.add_word(word, word)
+            automaton.make_automaton()
+            for batch in batches:
+                rows = [(k, w) for k, t in zip(batch[key], batch["_text"]) for w in sorted({w for _, w in automaton.iter(t)})]
+                yield pd.DataFrame(rows, columns=[key, "term"])
+
+        found = found.unionByName(slim.mapInPandas(run, schema))
+    return found
+
+
+def _pieces(name: Column) -> Column:
+    """All pieces of a short string, the string itself included."""
+    size = F.length(name)
+    of_start = lambda at: F.transform(F.sequence(F.lit(1), size - at + 1), lambda n: F.substring(name, at, n))
+    return F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), size), of_start)))
+
+
+def first_contained(names: DataFrame, key: str, name: str, terms: DataFrame, term: str, order: str) -> DataFrame:
+    """Rows ``(key, term)``: for each name the first term by ``order`` that it contains or that contains it.
 
-    Terms are joined on their first ``shortest`` characters with the pieces of the texts that long; what is joined is then
-    compared whole.  Terms shorter than that aren't found; ``key`` must be unique.
+    Both sides are names, not texts: each is cut into all its pieces, and what contains the other is an equality join on
+    them.  Null and empty names match nothing; ties in ``order`` go by the term.
     """
-    # characters as an array: a substring of a UTF-8 string would be counted from its start each time
-    chars = texts.select(key, F.split(text, "").alias("_chars"))
-    pieces = F.transform("_chars", lambda c, at: F.concat(c, *[F.coalesce(F.get("_chars", at + k), F.lit("")) for k in range(1, shortest)]))
-    cut = chars.select(key, F.explode(F.array_distinct(pieces)).alias("_piece"))
-    own = terms.select(F.col(term).alias("term"), F.left(F.col(term), F.lit(shortest)).alias("_piece")).filter(F.length("term") >= shortest).distinct()
-    near = cut.join(own, "_piece").select(key, "term").distinct().join(texts.select(key, F.col(text).alias("_text")), key)
-    return near.filter(F.contains("_text", F.col("term"))).select(key, "term")
+    left = names.select(F.col(key).alias(key), F.col(name).alias("_name")).filter(F.length("_name") > 0)
+    right = terms.select(F.col(term).alias("term"), F.col(order).alias("_order")).filter(F.length("term") > 0)
+    inside = left.select(key, F.explode(_pieces(F.col("_name"))).alias("term")).join(right, "term").select(key, "term", "_order")
+    around = right.withColumn("_name", F.explode(_pieces(F.col("term")))).join(left, "_name").select(key, "term", "_order")
+    return inside.unionByName(around).groupBy(key).agg(F.min_by("term", F.struct("_order", "term")).alias("term"))
 
 
 def update_join(left: DataFrame, right: DataFrame, key: str, fields: list[str]) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillsieve.operators.order import with_index
 from quillsieve.operators.ranks import scalars
 
 
@@ -35,30 +36,20 @@ def stratified_k(df: DataFrame, stratum: str, key: str, k: int, seed: int) -> Da
 
 
 def stratified_share(df: DataFrame, stratum: str, key: str, total: int, seed: int) -> DataFrame:
-    """About ``total`` rows in all, each stratum in proportion (rounded half to even)."""
+    """About ``total`` rows in all, each stratum in proportion (rounded half to even); a hot stratum is split over tasks."""
     counts = df.groupBy(stratum).agg(F.count("*").alias("_n"))
     whole = counts.agg(F.sum("_n").alias("_all"))
     quota = counts.select("*", *scalars(whole)).select(F.col(stratum).alias("_s"), F.bround(F.lit(total) * F.col("_n") / F.col("_all")).alias("_quota"))
-    joined = df.join(quota, df[stratum].eqNullSafe(quota["_s"])).drop("_s")
-    rank = F.row_number().over(Window.partitionBy(stratum).orderBy(hash_order(F.col(key), seed), key))
-    return joined.withColumn("_rank", rank).filter(F.col("_rank") <= F.col("_quota")).drop("_rank", "_quota")
+    ranked = with_index(df.withColumn("_hash", hash_order(F.col(key), seed)), ["_hash", key], "_rank", [stratum])
+    joined = ranked.join(quota, ranked[stratum].eqNullSafe(quota["_s"]))
+    return joined.filter(F.col("_rank") < F.col("_quota")).drop("_rank", "_quota", "_hash", "_s")
 
 
 def drop_bottom(df: DataFrame, score: str, key: str, share: float) -> DataFrame:
-    """Without the lowest ``int(n * share)`` rows by score, ties by key.
-
-    The score to cut at comes from the histogram of scores, so only rows of that one score are ranked.
-    """
-    counts = df.groupBy(score).agg(F.count("*").alias("_n"))
-    below = Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("_below", F.coalesce(F.sum("_n").over(below), F.lit(0)))
+    """Without the lowest ``int(n * share)`` rows by score, ties by key: an index over both, so no score is one task."""
     whole = df.agg(F.floor(F.count("*") * share).alias("_drop"))
-    marked = df.join(counts, score).select("*", *scalars(whole))
-    whole_kept = F.col("_below") >= F.col("_drop")
-    edge = marked.filter(~whole_kept & (F.col("_below") + F.col("_n") > F.col("_drop")))
-    rank = F.row_number().over(Window.partitionBy(score).orderBy(key))
-    edge = edge.withColumn("_rank", rank).filter(F.col("_below") + F.col("_rank") > F.col("_drop")).drop("_rank")
-    return marked.filter(whole_kept).unionByName(edge).drop("_n", "_below", "_drop")
+    ranked = with_index(df, [score, key], "_rank")
+    return ranked.select("*", *scalars(whole)).filter(F.col("_rank") >= F.col("_drop")).drop("_rank", "_drop")
 
 
 def bounded_rows(df: DataFrame, column: str, most: int, rows: int) -> DataFrame:

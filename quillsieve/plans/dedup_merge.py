@@ -40,16 +40,16 @@ WHEN regexp_matches(text, '{EVASIVE}') THEN 'evasive' END"""
 
 
 def dedup_first(spark, folder):
-    return O.first_wins(_docs(spark, folder), [F.md5("text")], ["doc_id"]).select("doc_id")
+    return O.first_wins(_docs(spark, folder), [F.md5("text")], ["doc_id"], ["doc_id"])
 
 
 def dedup_then_filter(spark, folder):
-    kept = O.first_wins(_docs(spark, folder), [F.sha1("text")], ["doc_id"])
-    return kept.filter(_reason().isNull()).select("doc_id")
+    judged = _docs(spark, folder).withColumn("fine", _reason().isNull())
+    return O.first_wins(judged, [F.sha1("text")], ["doc_id"], ["doc_id", "fine"]).filter("fine").select("doc_id")
 
 
 def filter_then_dedup(spark, folder):
-    kept = O.first_wins(_docs(spark, folder, "lang").filter(_reason().isNull()), [F.md5("text")], ["doc_id"])
+    kept = O.first_wins(_docs(spark, folder, "lang").filter(_reason().isNull()), [F.md5("text")], ["doc_id"], ["doc_id", "lang"])
     numbered = O.with_index(kept.withColumn("lang", F.coalesce("lang", F.lit("none"))), "doc_id", "n", ["lang"])
     return numbered.select("doc_id", F.format_string("%s_%05d", "lang", F.col("n")).alias("new_id"))
 
@@ -61,7 +61,7 @@ SELECT doc_id, printf('%s_%05d', lang, row_number() OVER (PARTITION BY lang ORDE
 def dedup_cross(spark, folder):
     a = _seeds(spark, folder).select("id", "prompt", F.lit("seed").alias("origin"))
     b = table(spark, folder, "eval_v2").select("id", F.col("question").alias("prompt"), F.lit("eval").alias("origin"))
-    kept = O.first_wins(a.unionByName(b).filter(F.col("prompt").isNotNull()), [F.md5("prompt")], ["origin", "id"])
+    kept = O.first_wins(a.unionByName(b).filter(F.col("prompt").isNotNull()), [F.md5("prompt")], ["origin", "id"], ["id", "origin"])
     return kept.select("id", "origin")
 
 
@@ -69,22 +69,24 @@ CROSS_SQL = f"""SELECT id, origin FROM (SELECT id, prompt, 'seed' AS origin FROM
 
 
 def dedup_id(spark, folder):
-    rows = table(spark, folder, "seed_prompts").select("id", "prompt", "ingested_at")
-    return O.first_wins(rows, [F.col("id")], ["ingested_at"]).select("id", "ingested_at")
+    rows = table(spark, folder, "seed_prompts").select("id", "ingested_at")
+    return O.first_wins(rows, [F.col("id")], ["ingested_at"], ["id", "ingested_at"])
 
 
 def dedup_last(spark, folder):
     rows = table(spark, folder, "chosen_rerun_bad").select("id", "ingested_at")
-    return O.last_wins(rows, [F.col("id")], ["ingested_at"]).select("id", "ingested_at")
+    return O.last_wins(rows, [F.col("id")], ["ingested_at"], ["id", "ingested_at"])
 
 
 def template_cap(spark, folder):
-    once = O.first_wins(_docs(spark, folder), [F.md5("text")], ["doc_id"])
-    return O.cap_per_key(once, [F.left("text", F.lit(8))], [F.col("doc_id")], 3).select("doc_id")
+    """At most 50 documents that begin with the same 40 characters, copies aside."""
+    headed = _docs(spark, folder).withColumn("head", F.left("text", F.lit(40)))
+    once = O.first_wins(headed, [F.md5("text")], ["doc_id"], ["doc_id", "head"])
+    return O.cap_per_key(once, [F.col("head")], [F.col("doc_id")], 50).select("doc_id")
 
 
 CAP_SQL = f"""WITH o AS (SELECT doc_id, text FROM {D} {FIRST.format('md5(text)', 'doc_id')})
-SELECT doc_id FROM o QUALIFY row_number() OVER (PARTITION BY left(text, 8) ORDER BY doc_id) <= 3"""
+SELECT doc_id FROM o QUALIFY row_number() OVER (PARTITION BY left(text, 40) ORDER BY doc_id) <= 50"""
 
 
 def dedup_composite(spark, folder):
@@ -119,12 +121,12 @@ WHERE k IS NOT NULL {FIRST.format('k', 'priority, id')}"""
 
 
 def sft_ids(spark, folder):
-    kept = _docs(spark, folder).filter(F.length("text") >= 200)
+    kept = _docs(spark, folder).filter(F.length("text") >= 200).select("doc_id")
     return O.with_index(kept, "doc_id", "n").select("doc_id", F.format_string("v4_A_%06d", "n").alias("new_id"))
 
 
 def sft_ids_by_cat(spark, folder):
-    kept = _docs(spark, folder, "category").filter(F.col("category").isNotNull())
+    kept = _docs(spark, folder, "category").filter(F.col("category").isNotNull()).select("doc_id", "category")
     numbered = O.with_index(kept, "doc_id", "n", ["category"])
     return numbered.select("doc_id", F.format_string("v6_%s_%05d", "category", F.col("n")).alias("new_id"))
 
@@ -214,7 +216,7 @@ def stratified_k(spark, folder):
 
 
 def stratified_prop(spark, folder):
-    return S.stratified_share(_docs(spark, folder, "source"), "source", "doc_id", 300, 42).select("doc_id", "source")
+    return S.stratified_share(_docs(spark, folder, "source").drop("text"), "source", "doc_id", 300, 42).select("doc_id", "source")
 
 
 PROP_SQL = f"""WITH d AS (SELECT doc_id, source FROM {D}), q AS (SELECT source, round_even(300.0::DOUBLE * count(*) / (SELECT count(*) FROM d), 0) AS quota FROM d GROUP BY source)
@@ -255,7 +257,7 @@ def first_n_per_group(spark, folder):
 
 
 def one_per_group(spark, folder):
-    return O.first_wins(_docs(spark, folder, "category"), [F.col("category")], ["doc_id"]).select("doc_id", "category")
+    return O.first_wins(_docs(spark, folder, "category"), [F.col("category")], ["doc_id"], ["doc_id", "category"])
 
 
 def cat_quota(spark, folder):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quillsieve.functions import text as X
 from quillsieve.operators import joins as J
 from quillsieve.operators import order as O
-from quillsieve.operators.ranks import scalars
+from quillsieve.operators.ranks import carry_over, in_ranges, scalars
 from quillsieve.operators.report import bucketed, percentiles_by_index
 from quillsieve.session import table
 
@@ -109,15 +109,22 @@ def distinct_names(spark, folder):
     return rows.agg(F.count_distinct("方剂名").alias("names"))
 
 
+#: Tokens of a model's context, and those that stay free.
+CONTEXT, FREE = 8192, 64
+
+
 def cap_recommend(spark, folder):
+    """A limit above all answers, in steps of 256, that the longest prompt still leaves room for."""
     rows = _answers(spark, folder).filter(F.col("output_tokens").isNotNull())
     p = percentiles_by_index(rows.withColumn("g", F.lit(1)), "g", "output_tokens", (0.99,)).select("p99")
     need = F.greatest(F.floor(F.col("p99") * 1.15), F.col("most") + 256)
-    return p.select("*", *scalars(rows.agg(F.max("output_tokens").alias("most")))).select((F.ceil(need / 256) * 256).alias("cap"))
+    longest = scalars(rows.agg(F.max("output_tokens").alias("most"), F.max(X.approx_tokens(F.col("prompt"))).cast("bigint").alias("asked")))
+    return p.select("*", *longest).select(F.least(F.ceil(need / 256) * 256, CONTEXT - F.col("asked") - FREE).alias("cap"))
 
 
-CAP_SQL = f"""SELECT (ceil(greatest(floor(l[least(floor(len(l) * 0.99)::INT, len(l) - 1) + 1] * 1.15::DOUBLE), l[-1] + 256) / 256) * 256)::BIGINT AS cap
-FROM (SELECT list(output_tokens ORDER BY output_tokens) AS l FROM {ANSWERS} WHERE output_tokens IS NOT NULL)"""
+CAP_SQL = rf"""SELECT least((ceil(greatest(floor(l[least(floor(len(l) * 0.99)::INT, len(l) - 1) + 1] * 1.15::DOUBLE), l[-1] + 256) / 256) * 256)::BIGINT, 8192 - asked - 64) AS cap
+FROM (SELECT list(output_tokens ORDER BY output_tokens) AS l, max(trunc(h * 1.5::DOUBLE + (n - h) * 0.3::DOUBLE)::BIGINT) AS asked
+FROM (SELECT output_tokens, length(prompt) AS n, length(prompt) - length(regexp_replace(prompt, '[\x{{4e00}}-\x{{9fff}}]', '', 'g')) AS h FROM {ANSWERS} WHERE output_tokens IS NOT NULL))"""
 
 
 def score_collapse(spark, folder):
@@ -152,12 +159,12 @@ def concat_range(spark, folder):
     """Titles of the entries on neighbouring pages, in page order: a window of bounded width."""
     page = F.regexp_extract("PDF页码", r"(\d+)", 1).try_cast("int")
     rows = table(spark, folder, "formula_textbook").select("序号", "方剂名", page.alias("page")).distinct().filter(F.col("page").isNotNull())
-    tens = rows.filter("page <= 120").groupBy(F.floor(F.col("page") / 10).alias("tens")).agg(F.array_sort(F.collect_list(F.struct("page", F.col("序号").cast("bigint").alias("n"), "方剂名"))).alias("l"))
+    tens = rows.groupBy(F.floor(F.col("page") / 10).alias("tens")).agg(F.array_sort(F.collect_list(F.struct("page", F.col("序号").cast("bigint").alias("n"), "方剂名"))).alias("l"))
     return tens.select("tens", F.array_join(F.transform("l", lambda x: x["方剂名"]), "|").alias("titles"))
 
 
 CONCAT_SQL = r"""SELECT page // 10 AS tens, string_agg(方剂名, '|' ORDER BY page, n) AS titles FROM
-(SELECT DISTINCT 序号::BIGINT AS n, 方剂名, try_cast(regexp_extract(PDF页码, '(\d+)', 1) AS INT) AS page FROM formula_textbook) WHERE page <= 120 GROUP BY 1"""
+(SELECT DISTINCT 序号::BIGINT AS n, 方剂名, try_cast(regexp_extract(PDF页码, '(\d+)', 1) AS INT) AS page FROM formula_textbook) WHERE page IS NOT NULL GROUP BY 1"""
 
 
 def fill_counts(spark, folder):
@@ -228,12 +235,23 @@ def band_join_all(spark, folder):
 
 def substr_join(spark, folder):
     names = table(spark, folder, "herb_names").select("herb")
-    return J.contained_terms(_docs(spark, folder), "doc_id", "text", names, "herb", 2).groupBy("term").agg(F.count("*").alias("documents"))
+    return J.contained_terms(_docs(spark, folder), "doc_id", "text", names, "herb").groupBy("term").agg(F.count("*").alias("documents"))
 
 
 SUBSTR_SQL = f"SELECT herb AS term, count(*) AS documents FROM (SELECT doc_id, text FROM {D}) d JOIN (SELECT DISTINCT herb FROM herb_names) h ON contains(d.text, h.herb) GROUP BY 1"
 
 
+def substr_first(spark, folder):
+    """For each formula name the first herb in the catalogue's order that it contains or that contains it."""
+    names = table(spark, folder, "formula_textbook").select(F.col("方剂名").alias("name")).distinct()
+    herbs = table(spark, folder, "herb_names").select("herb", "latin").withColumn("place", F.col("latin"))
+    return J.first_contained(names, "name", "name", herbs, "herb", "place").select("name", F.col("term").alias("herb"))
+
+
+SUBSTR_FIRST_SQL = """SELECT name, arg_min(herb, (latin, herb)) AS herb FROM (SELECT DISTINCT 方剂名 AS name FROM formula_textbook WHERE 方剂名 <> '') n
+JOIN herb_names h ON contains(n.name, h.herb) OR contains(h.herb, n.name) GROUP BY name"""
+
+
 def update_join(spark, folder):
     rows = table(spark, folder, "western_meds").select("序号", "药品通用名", "规格", "用法").distinct()
     better = table(spark, folder, "western_meds").filter(F.col("优先级") == "P0").select("药品通用名", "规格", "用法", F.col("序号").cast("bigint").alias("n"))
@@ -257,7 +275,7 @@ def candidate_rank(spark, folder):
     """The best alias for each herb: exact, else the longest containing it; ties by text."""
     herbs = table(spark, folder, "herb_names").select("herb")
     names = table(spark, folder, "formula_textbook").select(F.explode(F.split("组成", "[、，,；;|｜/\\s]+")).alias("name")).filter("name <> ''").distinct()
-    pairs = J.contained_terms(names.withColumn("key", F.col("name")), "key", "name", herbs, "herb", 2)
+    pairs = J.contained_terms(names.withColumn("key", F.col("name")), "key", "name", herbs, "herb")
     score = F.when(F.col("key") == F.col("term"), 1000).otherwise(500) + F.length("term")
     return pairs.groupBy("term").agg(F.min_by("key", F.struct(-score, "key")).alias("best"), F.count("*").alias("candidates"))
 
@@ -273,8 +291,8 @@ def batch_align(spark, folder):
 
 def next_page(spark, folder):
     """The next event of the same user: rows are sorted by time, so the least later one is simply the next."""
-    later = F.lead("event_id").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
-    return table(spark, folder, "events").select("event_id", later.alias("next_event"))
+    rows = in_ranges(table(spark, folder, "events").select("event_id", "user_id", "ts"), ["user_id", "ts", "event_id"])
+    return carry_over(rows, "user_id", F.col("event_id"), "next_event", forward=False).select("event_id", "next_event")
 
 
 def page_window(spark, folder):
@@ -295,12 +313,12 @@ def staged_match(spark, folder):
     texts = _docs(spark, folder)
     head = F.regexp_extract("text", r"^[【《#\s]*([\x{4e00}-\x{9fff}]{2,5}?)[】》\n]", 1)
     first = texts.select("doc_id", head.alias("name")).join(names, "name").select("doc_id", "name", F.lit(1).alias("stage"))
-    second = J.contained_terms(texts, "doc_id", "text", names, "name", 2).select("doc_id", F.col("term").alias("name"), F.lit(2).alias("stage"))
+    second = J.contained_terms(texts, "doc_id", "text", names, "name").select("doc_id", F.col("term").alias("name"), F.lit(2).alias("stage"))
     return first.unionByName(second).groupBy("doc_id").agg(F.min_by("name", F.struct("stage", "name")).alias("name"), F.min("stage").cast("bigint").alias("stage"))
 
 
 STAGED_SQL = rf"""WITH n AS (SELECT DISTINCT 方剂名 AS name FROM formula_textbook WHERE 方剂名 <> ''), d AS (SELECT doc_id, text FROM {D}),
-s AS (SELECT doc_id, name, 1 AS stage FROM d JOIN n ON regexp_extract(text, '^[【《#\s]*([\x{{4e00}}-\x{{9fff}}]{{2,5}}?)[】》\n]', 1) = name UNION ALL SELECT doc_id, name, 2 FROM d JOIN n ON contains(text, name) AND length(name) >= 2)
+s AS (SELECT doc_id, name, 1 AS stage FROM d JOIN n ON regexp_extract(text, '^[【《#\s]*([\x{{4e00}}-\x{{9fff}}]{{2,5}}?)[】》\n]', 1) = name UNION ALL SELECT doc_id, name, 2 FROM d JOIN n ON contains(text, name))
 SELECT doc_id, arg_min(name, (stage, name)) AS name, min(stage) AS stage FROM s GROUP BY doc_id"""
 
 QUERIES = {
@@ -332,6 +350,7 @@ QUERIES = {
     "band_join": (band_join, "SELECT p_partkey AS a, s_suppkey AS b FROM part JOIN supplier ON abs(p_partkey - s_suppkey) <= 2 WHERE p_size = 50"),
     "band_join_all": (band_join_all, "SELECT p_partkey AS a, s_suppkey AS b FROM part JOIN supplier ON abs(p_partkey - s_suppkey) <= 2"),
     "substr_join": (substr_join, SUBSTR_SQL),
+    "substr_first": (substr_first, SUBSTR_FIRST_SQL),
     "update_join": (update_join, UPDATE_SQL),
     "extend_to_n": (extend_to_n, "SELECT p_partkey FROM part ORDER BY p_size < 45, p_partkey LIMIT 400"),
     "candidate_rank": (candidate_rank, CANDIDATE_SQL),

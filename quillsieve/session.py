@@ -30,9 +30,11 @@ def build_session(master: str = "local[8]", partitions: int = 8, memory: str = "
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, or one of this machine where that is unset (tests)."""
+    """The folder that all executors share: ``spark.checkpoint.dir``; a folder of this machine only where Spark runs on it alone."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = _LOCAL.setdefault("folder", tempfile.mkdtemp(prefix="quillsieve-"))
     return folder
 
@@ -40,6 +42,18 @@ def shared_folder(spark: SparkSession) -> str:
 _LOCAL: dict[str, str] = {}
 
 
+_CUT: list[str] = []
+
+
+def drop_cut_tables(spark: SparkSession) -> int:
+    """Delete the tables that this session cut lineage with, once their results aren't needed; returns how many there were."""
+    count = len(_CUT)
+    while _CUT:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_CUT.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return count
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table into the shared folder and read it back.
 
@@ -47,6 +61,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     columnar, so later stages read only the columns they need.
     """
     path = f"{shared_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    _CUT.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -16,8 +16,11 @@ def read_lenient_json(spark: SparkSession, path: str, strict_first_line: bool =
     starts = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value")
     starts = starts.withColumn("line", F.monotonically_increasing_id())  # rises within a block
     first = starts.filter("at = 0").groupBy("file").agg(F.min_by("value", "line").alias("first"))
-    arrays = first.filter(F.ltrim("first").startswith("[")).select("file")
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value").join(F.broadcast(arrays), "file", "left_semi")
+    names = [r["file"] for r in first.filter(F.ltrim("first").startswith("[")).collect()]  # names of files, not their content
+    arrays = spark.createDataFrame([(n,) for n in names], "file string")
+    whole = spark.createDataFrame([], "file string, value string")
+    if names:  # only files that hold an array are read whole
+        whole = spark.read.text(names, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     elements = whole.select("file", F.explode(F.from_json("value", "array<variant>")).alias("record"))
     from_arrays = elements.select("file", F.to_json("record").alias("text"), "record")
     plain = lines.join(F.broadcast(arrays), "file", "left_anti").filter(F.trim("value") != "")

@@ -85,8 +85,8 @@ def test_band_and_containment_match_brute_force(spark):
     assert got == {(x, y) for x in (-5, 0, 3, 9, 14) for y in range(-8, 20) if abs(x - y) <= 3}
     texts = [(1, "甲乙丙甲乙"), (2, "丙"), (3, ""), (4, "乙丙丁")]
     terms = ["甲乙", "乙丙", "丙丁戊", "丙"]
-    found = joins.contained_terms(spark.createDataFrame(texts, "id int, t string"), "id", "t", spark.createDataFrame([(x,) for x in terms], "w string"), "w", 2)
-    assert {(r.id, r.term) for r in found.collect()} == {(i, w) for i, t in texts for w in terms if len(w) > 1 and w in t}
+    found = joins.contained_terms(spark.createDataFrame(texts, "id int, t string"), "id", "t", spark.createDataFrame([(x,) for x in terms], "w string"), "w")
+    assert {(r.id, r.term) for r in found.collect()} == {(i, w) for i, t in texts for w in terms if w in t}
 
 
 def test_percentiles_and_labels(spark):
@@ -108,3 +108,52 @@ def test_bounded_rows(spark):
     assert picked == sorted(r.t for r in bounded_rows(df.repartition(9), "t", 40, 3001).collect())
     assert bounded_rows(df, "t", 5000, 3001).count() == df.filter("t is not null").distinct().count()
     assert bounded_rows(df.limit(0), "t", 5, 0).count() == 0
+
+
+def test_hot_keys_and_outliers_are_split(spark, request):
+    """A key with a third of all rows, and one id far from all others, spread over ranges."""
+    from quillsieve.operators import joins, sample
+    from quillsieve.operators.ranks import in_ranges
+
+    rows = [(i if i else 10**15, "hot" if i % 3 == 0 else f"k{i % 50}", i % 7) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id bigint, k string, score int")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so that few rows have several ranges
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled"))
+    parts = in_ranges(df, ["k", "id"]).groupBy("_part").count().collect()
+    assert len(parts) > 1 and max(p["count"] for p in parts) < 1500
+    ranked = sorted((k, i) for i, k, _ in rows)
+    places, seen = {}, {}
+    for k, i in ranked:
+        places[i] = seen[k] = seen.get(k, -1) + 1
+    assert {r.id: r.n for r in order.with_index(df, "id", "n", ["k"]).collect()} == places
+    assert {r.id: r.n for r in order.with_index(df, "id", "n").collect()} == {i: n for n, i in enumerate(sorted(i for i, _, _ in rows))}
+    kept = {r.id for r in sample.drop_bottom(df, "score", "id", 0.25).collect()}
+    assert kept == {i for i, _, _ in sorted(rows, key=lambda r: (r[2], r[0]))[750:]}
+    picked = sample.stratified_share(df, "k", "id", 300, 1).groupBy("k").count().collect()
+    assert {r.k: r["count"] for r in picked}["hot"] == 100
+    views = spark.createDataFrame([("hot", t, t * 10) for t in range(5, 3000, 400)], "k string, at bigint, v bigint")
+    found = joins.asof_backward(df.filter("id < 1000000"), views, "k", "id", "at", "v").collect()
+    times = list(range(5, 3000, 400))
+    for r in found:
+        before = [t for t in times if t <= r.id]
+        assert r.v == (before[-1] * 10 if r.k == "hot" and before else None)
+
+
+def test_first_contained_and_short_terms(spark):
+    from quillsieve.operators import joins
+
+    names = spark.createDataFrame([("桂枝汤",), ("枝",), ("白术散",), (None,), ("",), ("无关",)], "name string")
+    terms = spark.createDataFrame([("桂枝", 2), ("枝", 3), ("白术", 1), ("汤", 0), (None, 4), ("", 5)], "w string, o int")
+    found = {r.name: r.term for r in joins.first_contained(names, "name", "name", terms, "w", "o").collect()}
+    assert found == {"桂枝汤": "汤", "枝": "桂枝", "白术散": "白术"}
+    pairs = {(r.name, r.term) for r in joins.contained_terms(names, "name", "name", terms, "w").collect()}
+    assert pairs == {("桂枝汤", "桂枝"), ("桂枝汤", "枝"), ("桂枝汤", "汤"), ("枝", "枝"), ("白术散", "白术")}
+
+
+def test_winners_ship_only_what_is_asked_for(spark):
+    df = spark.createDataFrame([(i, f"t{i % 3}", "x" * 50) for i in range(20)], "id bigint, k string, body string")
+    plan = order.first_wins(df, [F.md5("k")], ["id"], ["id"])
+    shown = plan._jdf.queryExecution().executedPlan().toString()
+    shuffled = shown[: shown.index("Exchange")]
+    assert "body" not in shuffled and "SortAggregate" not in shown and "HashAggregate" in shown
+    assert sorted(r.id for r in plan.collect()) == [0, 1, 2]
