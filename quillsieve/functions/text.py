@@ -12,12 +12,42 @@ ALNUM = r"[\p{L}\p{N}]"
 LATIN = r"[A-Za-z]"
 THINK_CLOSED = r"(?s)<think>.*?</think>"
 THINK_OPEN = r"(?s)<think>.*"
-EVASIVE_V4 = r"(?d)(建议.*?就医|请.*?咨询.*?医|无法.*?回答|不能.*?提供|仅供参考|作为.*?模型)"
-EVASIVE_V6 = r"^[^。!]{0,30}?(抱歉|无法|不能提供|恕我|遗憾)"
-ACUTE = r"急|突发|突然|抢救|昏迷|休克"
+# Answers that evade, looked for in the first 300 characters of an answer, or of its final part.
+EVASIVE_V4 = "|".join(
+    (
+        r"必须\s*(?:立即|首先|强调).*?(?:就医|医生|医院|急诊|120)",
+        r"建议您?\s*(?:立即|尽快)\s*(?:就医|去医院|看医生|联系医生)",
+        r"请务必\s*(?:立即|尽快).*?(?:就医|医生|医院|急诊)",
+        r"^[^。!]*请咨询专业医[生师]",
+        r"^[^。!]*无法替代医[生师]",
+        r"^[^。!]*仅供参考",
+    )
+)
+EVASIVE_V6 = "|".join(
+    (
+        r"^[^。!]{0,30}?请务必\s*(?:立即|尽快)\s*(?:就医|去医院|看医生|联系医生|咨询医生)",
+        r"^[^。!]{0,30}?建议您?\s*(?:立即|尽快)\s*(?:就医|去医院|看医生|咨询医生|联系医生)",
+        r"^[^。!]{0,30}?请咨询专业医[生师]",
+        r"^[^。!]{0,30}?无法替代医[生师]",
+        r"^[^。!]{0,30}?仅供参考,不能替代",
+    )
+)
+HEAD = 300
+# Urgent topics.
+ACUTE = (
+    "儿科|婴|幼儿|新生|孕|妊娠|产|急救|抢救|急诊|中毒|误服|误吞|急性|昏迷|休克|惊厥|抽搐|窒息|溺水|骨折|大出血|烫伤|烧伤|触电|中暑|心梗|脑卒|癫痫"
+)
+# Noise, lazy refusals and the fewest characters of a text.
+NOISE = "汉药|东中业|作为人工智能|我是一个AI|我作为AI"
+LAZY = r"^(?:很抱歉|抱歉|很不好意思).{0,30}(?:无法|没有提供|没有提到|不能).{0,200}\n?$"
+NOISE_SIZE = 80
+# Characters that a prompt of each category must have at least and at most.
+PROMPT_SIZES = {"mcq_gen": (60, 800), "acute": (30, 260), "tcm": (20, 240), "short": (8, 130)}
+# Answer markers, as they were first written and as they were meant; the choice they mark; formula names.
+MARKER, MARKER_FIXED = r"答案[::是为]|Answer[:：]", r"答案[:：是为]|Answer[:：]"
+CHOICE, CHOICE_ALONE, CHOICE_TAIL = r"答案[\s\p{Z}]*[:：][\s\p{Z}]*([A-Da-d])", "[A-Da-d]", 120
+FORMULA_NAME = r"[\x{4e00}-\x{9fff}]{2,8}(?:汤|散|丸|饮|膏|丹|片|煎|方)"
 LATIN_PHRASE = r"[A-Za-z]{2,}(?: [A-Za-z]{2,}){2,}"
-CHOICE = r"答案[:：] ?([A-E])"
-CLAUSE_NOISE = (r"https?://", r"[★☆]{3,}", r"(?i)点击(?:查看|下载)", r"微信(?:公众)?号", r"�")
 
 
 def py_strip(c: Column) -> Column:
@@ -98,3 +128,28 @@ def html_text(c: Column) -> Column:
 def first_value(*columns: Column) -> Column:
     """The first of several columns that isn't null or blank."""
     return F.coalesce(*[F.nullif(py_strip(c.cast("string")), F.lit("")) for c in columns])
+
+
+def final_part(c: Column) -> Column:
+    """What follows the first closing tag and the white space behind it; all of it without one."""
+    return F.regexp_replace(c, r"(?s)^.*?</think>\s*", "")
+
+
+def evades(c: Column, pattern: str) -> Column:
+    """Whether the head of an answer evades."""
+    return F.left(c, F.lit(HEAD)).rlike("(?d)" + pattern)
+
+
+def choice_of(c: Column) -> tuple[Column, Column]:
+    """The last marked choice of an answer, else the last letter near its end, in upper case; and whether it is marked."""
+    marked = F.try_element_at(F.regexp_extract_all(c, F.lit(CHOICE), 1), F.lit(-1))
+    alone = F.try_element_at(F.regexp_extract_all(F.right(c, F.lit(CHOICE_TAIL)), F.lit(CHOICE_ALONE), 0), F.lit(-1))
+    return F.upper(F.coalesce(marked, alone)), marked.isNotNull()
+
+
+def clean_field(c: Column) -> Column:
+    """One line: blanks collapsed, line breaks removed, blanks and joining marks stripped from both ends."""
+    text = F.regexp_replace(F.translate(c, "\u3000", " "), r"[ \t\r\f\x0b]+", " ")
+    text = F.replace(py_strip(text), F.lit("\n"), F.lit(""))
+    text = F.regexp_replace(text, r"[\s\p{Z}]+", " ")
+    return F.regexp_replace(text, "^[ ：:；;，,]+|[ ：:；;，,]+$", "")

@@ -195,7 +195,8 @@ def variant_expand(spark, folder):
 
 def sections_map(spark, folder):
     """How often each bracketed section title occurs, and the mean size of what follows it."""
-    pairs = F.arrays_zip(F.regexp_extract_all("text", F.lit(r"【([^】]*)】"), 1).alias("tag"), F.slice(F.split("text", r"【[^】]*】"), 2, 10000).alias("body"))
+    bodies = F.split("text", r"【[^】]*】")
+    pairs = F.arrays_zip(F.regexp_extract_all("text", F.lit(r"【([^】]*)】"), 1).alias("tag"), F.slice(bodies, F.lit(2), F.greatest(F.size(bodies) - 1, F.lit(0))).alias("body"))
     rows = table(spark, folder, "documents").filter(F.col("text").isNotNull()).select(F.explode(pairs).alias("p"))
     return rows.groupBy(F.col("p.tag").alias("tag")).agg(F.count("*").alias("sections"), F.sum(F.length("p.body")).alias("chars"))
 
@@ -230,14 +231,13 @@ FROM (SELECT f, length(f) - length(regexp_replace(f, '[A-Za-z]', '', 'g')) AS a,
 
 def mcq_reward(spark, folder):
     items = table(spark, folder, "eval_v2").filter("type = 'mcq'").select("question", "answer")
-    said = F.try_element_at(F.regexp_extract_all("chosen", F.lit(X.CHOICE), 1), F.lit(-1))
-    fallback = F.try_element_at(F.regexp_extract_all(F.right("chosen", F.lit(120)), F.lit("[A-D]"), 0), F.lit(-1))
-    rows = _answers(spark, folder).filter(F.col("chosen").isNotNull()).select("id", "prompt", F.coalesce(said, fallback).alias("said"), said.isNotNull().alias("marked"))
+    said, marked = X.choice_of(F.col("chosen"))
+    rows = _answers(spark, folder).filter(F.col("chosen").isNotNull()).select("id", "prompt", said.alias("said"), marked.alias("marked"))
     joined = rows.join(items, rows["prompt"] == items["question"], "left")
-    return joined.select("id", F.when(F.col("said").eqNullSafe(F.col("answer")) & F.col("answer").isNotNull(), 1.0).otherwise(0.0).alias("accuracy"), F.when(F.col("marked"), 1.0).otherwise(0.0).alias("format"))
+    return joined.select("id", F.when(F.col("said") == F.upper(F.trim("answer")), 1.0).otherwise(0.0).alias("accuracy"), F.when(F.col("marked"), 1.0).otherwise(0.0).alias("format"))
 
 
-REWARD_SQL = f"""SELECT id, CASE WHEN answer IS NOT NULL AND coalesce(m, regexp_extract_all(right(chosen, 120), '[A-D]')[-1]) = answer THEN 1.0::DOUBLE ELSE 0.0 END AS accuracy, CASE WHEN m IS NOT NULL THEN 1.0::DOUBLE ELSE 0.0 END AS format
+REWARD_SQL = rf"""SELECT id, CASE WHEN answer IS NOT NULL AND upper(coalesce(m, regexp_extract_all(right(chosen, 120), '[A-Da-d]')[-1])) = upper(trim(answer)) THEN 1.0::DOUBLE ELSE 0.0 END AS accuracy, CASE WHEN m IS NOT NULL THEN 1.0::DOUBLE ELSE 0.0 END AS format
 FROM (SELECT id, prompt, chosen, regexp_extract_all(chosen, '{X.CHOICE}', 1)[-1] AS m FROM {ANSWERS} WHERE chosen IS NOT NULL) a LEFT JOIN (SELECT question, answer FROM eval_v2 WHERE type = 'mcq') e ON a.prompt = e.question"""
 
 
@@ -256,11 +256,11 @@ def route_domain(spark, folder):
 
 
 def rewrite_select(spark, folder):
-    rows = _answers(spark, folder).filter(F.left("chosen", F.lit(300)).rlike(X.EVASIVE_V4)).select("id")
+    rows = _answers(spark, folder).filter(X.evades(F.col("chosen"), X.EVASIVE_V4)).select("id")
     return rows.orderBy(F.md5(F.concat(F.lit("42:"), F.col("id").cast("string"))), "id").limit(500)
 
 
-REWRITE_SQL = f"SELECT id FROM {ANSWERS} WHERE regexp_matches(left(chosen, 300), '(建议.*?就医|请.*?咨询.*?医|无法.*?回答|不能.*?提供|仅供参考|作为.*?模型)') ORDER BY md5('42:' || id::VARCHAR), id LIMIT 500"
+REWRITE_SQL = rf"SELECT id FROM {ANSWERS} WHERE regexp_matches(left(chosen, 300), '{X.EVASIVE_V4}') ORDER BY md5('42:' || id::VARCHAR), id LIMIT 500"
 
 
 # -- files and streams, through the shared folder ----------------------------------------------------------------------------

@@ -41,16 +41,13 @@ HAN = r"[\x{4e00}-\x{9fff}]"
 
 
 def noise_filter(spark, folder):
-    bare = X.py_strip(F.col("text"))
-    noisy = (F.length(bare) < 80) | bare.rlike(r"^(?:抱歉|对不起)[^。]{0,40}。?$")
-    for pattern in X.CLAUSE_NOISE:
-        noisy = noisy | bare.rlike(pattern)
+    text = F.col("text")
+    noisy = (F.length(X.py_strip(text)) < X.NOISE_SIZE) | text.rlike("(?d)" + X.LAZY) | text.rlike(X.NOISE)
     return _docs(spark, folder).filter(~noisy).select("doc_id")
 
 
-NOISE_SQL = rf"""SELECT doc_id FROM (SELECT doc_id, {stripped('text')} AS b FROM documents WHERE text IS NOT NULL)
-WHERE NOT (length(b) < 80 OR regexp_matches(b, '^(?:抱歉|对不起)[^。]{{0,40}}。?$') OR regexp_matches(b, 'https?://') OR regexp_matches(b, '[★☆]{{3,}}')
-OR regexp_matches(b, '(?i)点击(?:查看|下载)') OR regexp_matches(b, '微信(?:公众)?号') OR regexp_matches(b, '�'))"""
+NOISE_SQL = rf"""SELECT doc_id FROM documents WHERE text IS NOT NULL
+AND NOT (length({stripped('text')}) < 80 OR regexp_matches(text, '^(很抱歉|抱歉|很不好意思).{{0,30}}(无法|没有提供|没有提到|不能).{{0,200}}\n?$') OR regexp_matches(text, '汉药|东中业|作为人工智能|我是一个AI|我作为AI'))"""
 
 
 def len_window(spark, folder):
@@ -59,14 +56,16 @@ def len_window(spark, folder):
 
 
 def len_by_cat(spark, folder):
-    windows = F.create_map(*[F.lit(v) for k, a in (("mcq", 30), ("tcm", 15), ("short", 10), ("acute", 15)) for v in (k, a)])
+    """Prompts within the sizes of their category; categories without sizes aren't bounded."""
     rows = table(spark, folder, "seed_prompts").select("id", "prompt", F.lower(F.trim("category")).alias("cat")).dropDuplicates(["id"])
-    low = F.coalesce(F.try_element_at(windows, F.col("cat")), F.lit(10))
-    return rows.filter((F.length("prompt") >= low) & (F.length("prompt") <= 400)).groupBy("cat").agg(F.count("*").alias("kept"))
+    fits = F.lit(True)
+    for name, (least, most) in X.PROMPT_SIZES.items():
+        fits = F.when(F.col("cat") == name, F.length("prompt").between(least, most)).otherwise(fits)
+    return rows.filter(F.col("prompt").isNotNull() & fits).groupBy("cat").agg(F.count("*").alias("kept"))
 
 
-LEN_BY_CAT_SQL = """SELECT cat, count(*) AS kept FROM (SELECT DISTINCT ON (id) id, prompt, lower(trim(category)) AS cat FROM seed_prompts)
-WHERE length(prompt) >= CASE cat WHEN 'mcq' THEN 30 WHEN 'tcm' THEN 15 WHEN 'acute' THEN 15 ELSE 10 END AND length(prompt) <= 400 GROUP BY cat"""
+LEN_BY_CAT_SQL = """SELECT cat, count(*) AS kept FROM (SELECT DISTINCT ON (id) id, prompt, lower(trim(category)) AS cat FROM seed_prompts) WHERE prompt IS NOT NULL AND CASE cat
+WHEN 'mcq_gen' THEN length(prompt) BETWEEN 60 AND 800 WHEN 'acute' THEN length(prompt) BETWEEN 30 AND 260 WHEN 'tcm' THEN length(prompt) BETWEEN 20 AND 240 WHEN 'short' THEN length(prompt) BETWEEN 8 AND 130 ELSE true END GROUP BY cat"""
 
 
 def role_guard(spark, folder):
@@ -87,11 +86,17 @@ ALL_SQL = f"SELECT doc_id, round({_n('text', HAN)}::DOUBLE / greatest(length(tex
 
 
 def evasive_v4(spark, folder):
-    return _answers(spark, folder).filter(F.left("chosen", F.lit(300)).rlike(X.EVASIVE_V4)).select("id")
+    return _answers(spark, folder).filter(X.evades(F.col("chosen"), X.EVASIVE_V4)).select("id")
+
+
+EVASIVE_V4_SQL = rf"SELECT id FROM {ANSWERS} WHERE regexp_matches(left(chosen, 300), '{X.EVASIVE_V4}')"
 
 
 def evasive_v6(spark, folder):
-    return _answers(spark, folder).filter(X.strip_think(F.col("chosen")).rlike(X.EVASIVE_V6)).select("id")
+    return _answers(spark, folder).filter(X.evades(X.final_part(F.col("chosen")), X.EVASIVE_V6)).select("id")
+
+
+EVASIVE_V6_SQL = rf"SELECT id FROM {ANSWERS} WHERE regexp_matches(left(CASE WHEN contains(chosen, '</think>') THEN regexp_replace(chosen[instr(chosen, '</think>') + 8:], '^\s*', '') ELSE chosen END, 300), '{X.EVASIVE_V6}')"
 
 
 def min_len(spark, folder):
@@ -101,7 +106,7 @@ def min_len(spark, folder):
 
 def marker_required(spark, folder):
     rows = _answers(spark, folder).filter(F.col("chosen").isNotNull())
-    literal, fixed = F.col("chosen").rlike(r"答案[::是为]"), F.col("chosen").rlike(r"答案[:：是为]")
+    literal, fixed = F.col("chosen").rlike(X.MARKER), F.col("chosen").rlike(X.MARKER_FIXED)
     return rows.select("id", literal.alias("as_written"), fixed.alias("fixed")).filter("as_written or fixed")
 
 
@@ -219,16 +224,15 @@ def between_tags(spark, folder):
 
 def clean_field(spark, folder):
     rows = table(spark, folder, "formula_textbook").select("序号", "主治").distinct()
-    bare = F.regexp_replace(F.regexp_replace("主治", r"[\s\p{Z}]+", ""), r"[，。；、,.;]+$", "")
-    return rows.select(F.col("序号").alias("entry_no"), F.when(F.length(bare) > 30, F.concat(F.left(bare, F.lit(30)), F.lit("…"))).otherwise(bare).alias("indication"))
+    return rows.select(F.col("序号").alias("entry_no"), X.clean_field(F.col("主治")).alias("indication"))
 
 
-CLEAN_SQL = r"""SELECT 序号 AS entry_no, CASE WHEN length(b) > 30 THEN left(b, 30) || '…' ELSE b END AS indication FROM
-(SELECT 序号, regexp_replace(regexp_replace(主治, '[\s\p{Z}]+', '', 'g'), '[，。；、,.;]+$', '') AS b FROM (SELECT DISTINCT 序号, 主治 FROM formula_textbook))"""
+CLEAN_SQL = rf"""SELECT 序号 AS entry_no, regexp_replace(regexp_replace(replace({stripped("regexp_replace(replace(主治, '　', ' '), '[ \t\r\f\v]+', ' ', 'g')")}, chr(10), ''), '[\s\p{{Z}}]+', ' ', 'g'), '^[ ：:；;，,]+|[ ：:；;，,]+$', '', 'g') AS indication
+FROM (SELECT DISTINCT 序号, 主治 FROM formula_textbook)"""
 
 
 def name_extract(spark, folder):
-    name = F.regexp_extract("text", r"[\x{4e00}-\x{9fff}]{2}(?:汤|散|丸|饮|膏|丹|煎)", 0)
+    name = F.regexp_extract("text", X.FORMULA_NAME, 0)
     return _docs(spark, folder).select(name.alias("name")).filter("name <> ''").groupBy("name").agg(F.count("*").alias("documents"))
 
 
@@ -251,20 +255,19 @@ FROM (SELECT 序号, regexp_replace(药品通用名, '[（(][^（）()]*[)）]|[
 
 
 def mcq_extract(spark, folder):
-    choices = F.regexp_extract_all("chosen", F.lit(X.CHOICE), 1)
     rows = _answers(spark, folder).filter(F.col("chosen").isNotNull())
-    return rows.select("id", F.try_element_at(choices, F.lit(-1)).alias("choice")).filter(F.col("choice").isNotNull())
+    return rows.select("id", X.choice_of(F.col("chosen"))[0].alias("choice")).filter(F.col("choice").isNotNull())
 
 
 def keypoint_hit(spark, folder):
-    """Share of an item's key points whose first part the reference answer holds, brackets splitting a point into aliases."""
+    """Share of an item's key points of which the reference answer holds an alias; brackets split a point into aliases."""
     rows = table(spark, folder, "eval_v2").filter((F.col("type") == "open") & (F.size("key_points") > 0))
     aliases = lambda p: F.filter(F.split(p, "[（）()]"), lambda a: F.trim(a) != "")
-    hits = F.filter("key_points", lambda p: F.exists(aliases(p), lambda a: F.contains(F.col("reference_answer"), F.left(a, F.lit(12)))))
+    hits = F.filter("key_points", lambda p: F.exists(aliases(p), lambda a: F.contains(F.col("reference_answer"), F.trim(a))))
     return rows.select("id", F.round(F.size(hits) / F.size("key_points"), 6).alias("hit_rate"))
 
 
-KEYPOINT_SQL = """SELECT id, round(len(list_filter(key_points, lambda p: len(list_filter(string_split_regex(p, '[（）()]'), lambda a: trim(a) <> '' AND contains(reference_answer, left(a, 12)))) > 0))::DOUBLE / len(key_points), 6) AS hit_rate
+KEYPOINT_SQL = """SELECT id, round(len(list_filter(key_points, lambda p: len(list_filter(string_split_regex(p, '[（）()]'), lambda a: trim(a) <> '' AND contains(reference_answer, trim(a)))) > 0))::DOUBLE / len(key_points), 6) AS hit_rate
 FROM eval_v2 WHERE type = 'open' AND len(key_points) > 0"""
 
 D = "documents WHERE text IS NOT NULL"
@@ -276,10 +279,10 @@ QUERIES = {
     "latin_ratio": (_ratio("latin_ratio", X.latin_ratio), LATIN_SQL),
     "script_ratio_alnum": (_ratio("cjk_ratio", X.cjk_ratio_alnum), ALNUM_SQL),
     "script_ratio_all": (_ratio("cjk_ratio", X.cjk_ratio_all), ALL_SQL),
-    "evasive_v4": (evasive_v4, f"SELECT id FROM {ANSWERS} WHERE regexp_matches(left(chosen, 300), '(建议.*?就医|请.*?咨询.*?医|无法.*?回答|不能.*?提供|仅供参考|作为.*?模型)')"),
-    "evasive_v6": (evasive_v6, f"SELECT id FROM {ANSWERS} WHERE regexp_matches({without_think('chosen')}, '^[^。!]{{0,30}}?(抱歉|无法|不能提供|恕我|遗憾)')"),
+    "evasive_v4": (evasive_v4, EVASIVE_V4_SQL),
+    "evasive_v6": (evasive_v6, EVASIVE_V6_SQL),
     "min_len": (min_len, f"SELECT id, length(f) AS size FROM (SELECT id, {without_think('chosen')} AS f FROM {ANSWERS}) WHERE length(f) >= 150"),
-    "marker_required": (marker_required, f"SELECT * FROM (SELECT id, regexp_matches(chosen, '答案[::是为]') AS as_written, regexp_matches(chosen, '答案[:：是为]') AS fixed FROM {ANSWERS} WHERE chosen IS NOT NULL) WHERE as_written OR fixed"),
+    "marker_required": (marker_required, f"SELECT * FROM (SELECT id, regexp_matches(chosen, '答案[::是为]|Answer[:：]') AS as_written, regexp_matches(chosen, '答案[:：是为]|Answer[:：]') AS fixed FROM {ANSWERS} WHERE chosen IS NOT NULL) WHERE as_written OR fixed"),
     "keyword_include": (keyword_include, f"SELECT source, count(*) AS documents FROM {D} AND regexp_matches(text, '{X.ACUTE}') GROUP BY source"),
     "latin_phrase": (latin_phrase, f"SELECT * FROM (SELECT doc_id, len(regexp_extract_all(text, '{X.LATIN_PHRASE}')) AS phrases FROM {D}) WHERE phrases > 0"),
     "approx_tokens": (approx_tokens, f"SELECT doc_id, trunc({_n('text', HAN)} * 1.5::DOUBLE + (length(text) - {_n('text', HAN)}) * 0.3::DOUBLE)::BIGINT AS tokens FROM {D}"),
@@ -295,9 +298,9 @@ QUERIES = {
     "caution_sentences": (caution_sentences, CAUTION_SQL),
     "between_tags": (between_tags, f"SELECT doc_id, {stripped('regexp_extract(text, $$(?s)【(.*?)(?:】|$)$$, 1)')} AS tag FROM {D} AND contains(text, '【')"),
     "clean_field": (clean_field, CLEAN_SQL),
-    "name_extract": (name_extract, rf"SELECT name, count(*) AS documents FROM (SELECT regexp_extract(text, '[\x{{4e00}}-\x{{9fff}}]{{2}}(?:汤|散|丸|饮|膏|丹|煎)') AS name FROM {D}) WHERE name <> '' GROUP BY name"),
+    "name_extract": (name_extract, rf"SELECT name, count(*) AS documents FROM (SELECT regexp_extract(text, '[\x{{4e00}}-\x{{9fff}}]{{2,8}}(?:汤|散|丸|饮|膏|丹|片|煎|方)') AS name FROM {D}) WHERE name <> '' GROUP BY name"),
     "has_section": (has_section, f"SELECT source, count(*) FILTER (contains(text, '【')) AS with_section, count(*) AS documents FROM {D} GROUP BY source"),
     "name_stem": (name_stem, NAME_STEM_SQL),
-    "mcq_extract": (mcq_extract, f"SELECT * FROM (SELECT id, regexp_extract_all(chosen, '{X.CHOICE}', 1)[-1] AS choice FROM {ANSWERS} WHERE chosen IS NOT NULL) WHERE choice IS NOT NULL"),
+    "mcq_extract": (mcq_extract, rf"SELECT * FROM (SELECT id, upper(coalesce(regexp_extract_all(chosen, '{X.CHOICE}', 1)[-1], regexp_extract_all(right(chosen, 120), '[A-Da-d]')[-1])) AS choice FROM {ANSWERS} WHERE chosen IS NOT NULL) WHERE choice IS NOT NULL"),
     "keypoint_hit": (keypoint_hit, KEYPOINT_SQL),
 }
