@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from quillsieve.functions import text as X
+from quillsieve.operators import order as O
+from quillsieve.operators.normalize import normalize_records, strict_schema
 from quillsieve.session import shared_folder, table
 from quillsieve.sources.records import read_csv_strings, read_lenient_json, write_json_lines
 from quillsieve.streaming.staging import stage
@@ -51,6 +53,39 @@ NORM_SQL = f"""SELECT id, md5(CASE WHEN a IS NOT NULL AND b IS NOT NULL AND lowe
 FROM (SELECT id, {_sql_strip('category')} AS a, {_sql_strip('prompt')} AS b, {_sql_strip('gt_answer')} AS g FROM {SEEDS}) WHERE coalesce(a, b) IS NOT NULL AND g IS NOT NULL"""
 
 
+def norm_records(spark, folder):
+    """Answers written in three shapes, one for each teacher, and normalized again: pairs, instruction and input, upper case."""
+    rows = _answers(spark, folder).filter(F.col("prompt").isNotNull() & F.col("chosen").isNotNull())
+    labelled = F.array(F.concat(F.lit("问："), "prompt"), F.concat(F.lit("答: "), "chosen"))
+    shape = F.when(F.col("teacher") == "m2_large", F.to_json(F.struct(labelled.alias("data"))))
+    asked = F.struct(F.col("prompt").alias("instruction"), F.col("category").alias("input"), F.col("chosen").alias("output"))
+    shape = shape.when(F.col("id") % 2 == 0, F.to_json(asked))
+    upper = F.struct(F.col("prompt").alias("Question"), F.col("chosen").alias("Answer"), F.col("domain").alias("System"))
+    records = rows.select("id", F.try_parse_json(shape.otherwise(F.to_json(upper))).alias("record"))
+    done = normalize_records(records, "record", F.lit("default"))
+    return done.select("id", "system", F.md5(F.col("messages")[0]["content"]).alias("user"), F.md5(F.col("messages")[1]["content"]).alias("assistant"))
+
+
+NORM_RECORDS_SQL = f"""SELECT id, CASE WHEN teacher IS DISTINCT FROM 'm2_large' AND id % 2 <> 0 THEN coalesce({_sql_strip('domain')}, 'default') ELSE 'default' END AS system,
+md5(CASE WHEN teacher IS DISTINCT FROM 'm2_large' AND id % 2 = 0 AND c IS NOT NULL AND lower(c) <> lower(p) THEN p || chr(10) || c ELSE p END) AS user, md5(a) AS assistant
+FROM (SELECT *, {_sql_strip('prompt')} AS p, {_sql_strip('category')} AS c, {_sql_strip('chosen')} AS a FROM {ANSWERS}) WHERE p IS NOT NULL AND a IS NOT NULL"""
+
+
+def strict_records(spark, folder):
+    """Items without ids and prompts with ids in the three fields of the training schema, the first of equal prompts kept."""
+    empty = F.lit("").alias("system")
+    turn = lambda c: F.array(F.struct(F.lit("user").alias("role"), F.col(c).alias("content"))).alias("messages")
+    items = table(spark, folder, "eval_v2").select(F.lit(None).cast("string").alias("id"), empty, turn("question"), F.lit("C").alias("label"), F.col("id").alias("place"))
+    seeds = _seeds(spark, folder).filter(F.col("prompt").isNotNull()).select("id", empty, turn("prompt"), F.lit("D").alias("label"), F.col("id").alias("place"))
+    once = O.first_wins(items.unionByName(seeds), [F.sha1(F.col("messages")[0]["content"])], ["label", "place"])
+    return strict_schema(once, "label", "place").select("id", "system", F.md5(F.col("messages")[0]["content"]).alias("user"))
+
+
+STRICT_SQL = f"""WITH a AS (SELECT NULL::VARCHAR AS id, question AS q, 'C' AS label, id AS place FROM eval_v2 UNION ALL SELECT id, prompt, 'D', id FROM {SEEDS} WHERE prompt IS NOT NULL),
+k AS (SELECT * FROM a WHERE q IS NOT NULL QUALIFY row_number() OVER (PARTITION BY q ORDER BY label, place) = 1)
+SELECT coalesce(id, label || '_' || (row_number() OVER (PARTITION BY label ORDER BY place) - 1)) AS id, '' AS system, md5(q) AS user FROM k"""
+
+
 def norm_multi(spark, folder):
     one = _seeds(spark, folder).select("source", F.lit("seed").alias("track"))
     two = table(spark, folder, "eval_v2").select("source", F.lit("eval").alias("track"))
@@ -304,6 +339,8 @@ def stream_staging(spark, folder):
 
 
 QUERIES = {
+    "norm_records": (norm_records, NORM_RECORDS_SQL),
+    "strict_records": (strict_records, STRICT_SQL),
     "pick_alias": (pick_alias, f"SELECT id, coalesce({_sql_strip('gt_answer')}, {_sql_strip('category')}, {_sql_strip('source')}) AS value FROM {SEEDS}"),
     "norm_pair": (norm_pair, NORM_SQL),
     "norm_multi": (norm_multi, f"SELECT track, source, count(*) AS rows FROM (SELECT source, 'seed' AS track FROM {SEEDS} UNION ALL SELECT source, 'eval' FROM eval_v2 UNION ALL SELECT teacher, 'answers' FROM {ANSWERS}) GROUP BY 1, 2"),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +34,41 @@ def read_lenient_json(spark: SparkSession, path: str, strict_first_line: bool =
     return parsed.unionByName(from_arrays)
 
 
+def read_sources(spark: SparkSession, sources: Sequence[dict]) -> tuple[DataFrame | None, list[str]]:
+    """Rows ``(name, track, system, source_no, file, text, record)`` of all sources, and the names of those that are missing.
+
+    ``sources``: ``name`` and ``path`` (a glob is fine), optionally ``track``, ``system`` and ``disabled``; disabled ones
+    are skipped.  The order of the list and the file names is the order that first-wins rules go by.
+    """
+    whole, missing = None, []
+    for at, source in enumerate(sources):
+        if source.get("disabled"):
+            continue
+        try:
+            rows = read_lenient_json(spark, source["path"])
+        except AnalysisException as problem:
+            if "PATH_NOT_FOUND" not in str(problem):
+                raise
+            missing.append(source["name"])
+            continue
+        text = lambda key: F.lit(source.get(key)).cast("string").alias(key)  # noqa: B023, E731
+        rows = rows.select(F.lit(source["name"]).alias("name"), text("track"), text("system"), F.lit(at).alias("source_no"), "file", "text", "record")
+        whole = rows if whole is None else whole.unionByName(rows)
+    return whole, missing
+
+
+def read_id_list(spark: SparkSession, path: str) -> DataFrame:
+    """The different integers of text files with one in each line; other lines are skipped."""
+    return spark.read.text(path).select(F.trim("value").try_cast("bigint").alias("id")).filter(F.col("id").isNotNull()).distinct()
+
+
+def write_csv(df: DataFrame, path: str, columns: Sequence[str]) -> None:
+    """CSV of these columns in this order, with a header that begins with a byte-order mark; other columns are left out."""
+    first, *rest = columns
+    marked = df.select(F.col(f"`{first}`").alias("\ufeff" + first), *[f"`{c}`" for c in rest])
+    marked.write.mode("overwrite").csv(path, header=True, quote='"', escape='"')
+
+
 def read_strict_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON lines of one schema; a line that doesn't parse fails the job."""
     return spark.read.schema(schema).json(path, mode="FAILFAST")

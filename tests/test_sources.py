@@ -69,3 +69,65 @@ def test_streams(spark, tmp_path):
     assert sum(r["rows"] for r in counts) == 10  # the last window is still open
     alarms = staged_with_alarm(stream(), str(tmp_path / "out"), str(tmp_path / "state"), F.col("g") == "a", 0.4)
     assert alarms == [{"batch": 0, "rows": 12, "bad": 6}]
+
+
+def test_sources_by_config(spark, tmp_path):
+    from quillsieve.operators.normalize import normalize_records
+    from quillsieve.sources.records import read_id_list, read_sources, write_csv
+
+    (tmp_path / "a.jsonl").write_text(
+        '{"data": ["问：头痛怎么办", "您好\\n答: 先休息"]}\n{"data": ["问：", "答：好"]}\n{"data": ["只有一个"]}\n'
+        '{"instruction": " 看舌 ", "input": "苔黄", "output": "热"}\n{"instruction": "Same", "input": "same", "answer": 5}\n'
+        '{"Instruction": "大写", "Output": "答", "system_prompt": "自己的"}\n{"query": " ", "prompt": "后备", "response": "", "target": "有"}\n'
+        '[1, 2]\n"text"\n{"query": "没有回答"}\nbroken\n',
+        encoding="utf-8",
+    )
+    (tmp_path / "b.json").write_text('[{"question": "数组", "answer": "一"}]', encoding="utf-8")
+    config = [
+        {"name": "a", "path": str(tmp_path / "a.jsonl"), "track": "x"},
+        {"name": "off", "path": str(tmp_path / "a.jsonl"), "disabled": True},
+        {"name": "gone", "path": str(tmp_path / "none.jsonl")},
+        {"name": "b", "path": str(tmp_path / "b.json"), "system": "来源的"},
+    ]
+    rows, missing = read_sources(spark, config)
+    done = normalize_records(rows.withColumnRenamed("system", "own"), "record", F.coalesce("own", F.lit("默认")))
+    found = sorted((r.name, r.system, r.messages[0].content, r.messages[1].content) for r in done.collect())
+    assert missing == ["gone"] and found == sorted(
+        [
+            ("a", "默认", "头痛怎么办", "您好\n先休息"),
+            ("a", "默认", "看舌\n苔黄", "热"),
+            ("a", "默认", "Same", "5"),
+            ("a", "自己的", "大写", "答"),
+            ("a", "默认", "后备", "有"),
+            ("b", "来源的", "数组", "一"),
+        ]
+    )
+    (tmp_path / "ids.txt").write_text("3\n\n 4 \nx\n3\n")
+    assert sorted(r.id for r in read_id_list(spark, str(tmp_path / "ids.txt")).collect()) == [3, 4]
+    write_csv(spark.createDataFrame([(1, "甲", "多")], "`序号` int, `名` string, `多余` string"), str(tmp_path / "out"), ["名", "序号"])
+    written = next((tmp_path / "out").glob("*.csv")).read_text(encoding="utf-8")
+    assert written.startswith("\ufeff名,序号") and read_csv_strings(spark, str(tmp_path / "out")).columns == ["名", "序号"]
+
+
+def test_strict_schema(spark):
+    from quillsieve.operators.normalize import strict_schema
+
+    df = spark.createDataFrame([("a", "s", [], "L", 2), (None, "s", [], "L", 1), (None, "s", [], "M", 5), (None, None, None, "L", 9)], "id string, system string, messages array<string>, label string, at int").withColumn("extra", F.lit(1))
+    out = strict_schema(df, "label", "at")
+    assert out.columns == ["id", "system", "messages"] and sorted(r.id for r in out.collect()) == ["L_0", "L_2", "M_0", "a"]
+
+
+def test_shared_folder_is_asked_for_on_a_cluster(spark):
+    from quillsieve.session import cut_lineage, drop_cut_tables, shared_folder
+
+    class Cluster:
+        class sparkContext:
+            master = "spark://host:7077"
+
+            @staticmethod
+            def getConf():
+                return {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Cluster)
+    assert cut_lineage(spark.range(3)).count() == 3 and drop_cut_tables(spark) >= 1 and drop_cut_tables(spark) == 0
