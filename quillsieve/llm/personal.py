@@ -16,7 +16,8 @@ of sentences of similar length are worked through together.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -89,6 +90,13 @@ CUES = (
     rf"(?=[PpBbSsCcKqNn문連])(?:{LABEL_EN}) ?{CAP}(?=[,.。、]| can | at | is | came |$)",
     rf"([A-Z](?<![A-Za-z.][A-Z])\. ?{CAPITAL})(?= (?:came|said|says|asked|called|was|is|has|had|wrote|told) )",
 )
+#: Of each cue the strings one of which a text must hold for it: most texts hold none and aren't searched.
+CUE_WORDS = (
+    (*LABEL_ZH.split("|"), "叫", "找"),
+    ("收）", "收)"),
+    ("atient", "rother", "ister", "ontact", "Kontakt:", "question :", "belongs to", "arcel for", "ame:", "문의:", "連絡先："),
+    (" came ", " said ", " says ", " asked ", " called ", " was ", " is ", " has ", " had ", " wrote ", " told "),
+)
 CUE_BEFORE = {
     "phone": re.compile(r"(?:电话|手机[：:]?|拨打|微信同号|短信发到|打|联系[：:]|call|on|予約は|예약은|／|[（(])\s*$"),
     "id_number": re.compile(r"(?:身份证|证件[号：:]|证件号为|需提供|／|护照|file|姓名)\s*$"),
@@ -683,7 +691,11 @@ def name_statistics(docs: DataFrame, text: str) -> pd.DataFrame:
 
     The parts are characters and words above a share of all names, so their number is bounded by that share.
     """
-    names: Column = F.flatten(F.array(*[F.regexp_extract_all(F.col(text), F.lit(c), F.lit(1)) for c in CUES]))
+    def cued(cue: str, words: tuple[str, ...]) -> Column:
+        some = reduce(or_, [F.contains(F.col(text), F.lit(w)) for w in words])
+        return F.when(some, F.regexp_extract_all(F.col(text), F.lit(cue), F.lit(1))).otherwise(F.array().cast("array<string>"))
+
+    names = F.flatten(F.array(*map(cued, CUES, CUE_WORDS)))
     found = docs.filter(F.col(text).isNotNull()).select(F.explode(names).alias("name")).groupBy("name").agg(F.count("*").alias("n"))
 
     def cut(batches):

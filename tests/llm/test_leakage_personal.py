@@ -177,6 +177,19 @@ def test_sentences_left_out_of_the_chains_hold_no_mention():
     assert holds.any() and not (holds & ~first).any() and not (holds & ~second).any() and second.mean() < 0.9
 
 
+def test_cue_words_are_in_every_text_with_a_cue():
+    from quillsieve.llm.personal import CUE_WORDS, CUES, cued_names
+
+    texts = ["收件人：沈砚荞。", "儿子叫沈砚，", "13800000000找沈砚。", "负责人沈砚 ", "（沈砚收）", "Patient, Orla Tessin.", "Kontakt: Orla Tessin.", "Parcel for Orla Tessin,", "連絡先：Orla Tessin。", "J. Tessin told us."]
+    texts += [f"{label}：沈砚，" for label in ("户主", "备注", "签名")] + ["her sister Orla Tessin can call", "Name: Orla Tessin.", "belongs to Orla Tessin."]
+    for text in texts:
+        assert cued_names(text), text
+        import re
+
+        for cue, words in zip(CUES, CUE_WORDS):
+            assert not re.search(cue, text) or any(w in text for w in words), text
+
+
 def test_names_are_counted_over_all_texts(spark):
     from quillsieve.llm.personal import name_statistics
 
