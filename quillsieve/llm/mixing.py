@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillsieve.operators.ranks import running_sum
+from quillsieve.session import cut_lineage
 
 #: Documents of one bucket of a source's order, and of one slice of the merged order, about; and the fewest of either.
 BUCKET_ROWS, LEAST_BUCKETS = 200_000, 64
@@ -52,7 +53,7 @@ def queue(pool: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
     # buckets are ranges of the hash
     mixed = mixed.withColumn("_bucket", F.shiftrightunsigned("_hash", 65 - _buckets(pool.count()).bit_length()))
     documents = running_sum(mixed, ["mix_id", "label"], "_bucket", ["_hash", "rec_id"], F.col("size"), "finished")
-    documents = documents.drop("_bucket")
+    documents = cut_lineage(documents.drop("_bucket"))  # read again for the state of the sources, the mix and its order
     whole = documents.groupBy("mix_id", "label").agg(F.max("finished").alias("chars"), F.count("*").alias("records"))
     state = targets.join(whole, ["mix_id", "label"], "left").join(totals, "mix_id", "left")
     state = state.na.fill(0, ["chars", "records", "pool_chars"])
