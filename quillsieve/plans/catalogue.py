@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillsieve.functions import text as X
+from quillsieve.operators.order import with_index
 from quillsieve.operators.report import first_reason
 from quillsieve.operators.sample import hash_order
 from quillsieve.session import table
@@ -93,7 +94,8 @@ OVER_SQL = rf"SELECT doc_id FROM {D} AND length(text) >= 100 AND {_n(HAN)}::DOUB
 def fence_json(spark, folder):
     """Prompts of each source in a fenced JSON list of at most 20, and read back from it."""
     rows = table(spark, folder, "seed_prompts").dropDuplicates(["id"]).filter(F.col("prompt").isNotNull())
-    batches = rows.groupBy("source", F.pmod(F.xxhash64("id"), F.lit(1 << 16)).alias("batch")).agg(F.collect_list(F.struct("prompt", "category")).alias("items"))
+    numbered = with_index(rows.select("id", "source", "prompt", "category"), "id", "n", ["source"])
+    batches = numbered.groupBy("source", F.floor(F.col("n") / 20).alias("batch")).agg(F.collect_list(F.struct("prompt", "category")).alias("items"))
     fenced = batches.select("source", F.concat(F.lit("```json\n"), F.to_json("items"), F.lit("\n```")).alias("said"))
     body = F.regexp_replace("said", r"^\s*```(?:json)?\s*|\s*```\s*$", "")
     items = fenced.select("source", F.explode(F.from_json(body, "array<struct<prompt string, category string>>")).alias("i"))

@@ -221,7 +221,7 @@ ASOF LEFT JOIN (SELECT user_id, ts, max(event_id) AS view_id FROM events WHERE e
 
 
 def band_join(spark, folder):
-    meds = table(spark, folder, "part").filter("p_size = 50").select(F.col("p_partkey").alias("a"))
+    meds = table(spark, folder, "part").select(F.col("p_partkey").alias("a"))
     near = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("b"))
     return J.band_join(meds, near, "a", "b", 2).select("a", "b")
 
@@ -347,7 +347,7 @@ QUERIES = {
     "scan_limit": (scan_limit, f"SELECT doc_id FROM {D} ORDER BY doc_id LIMIT 500"),
     "sort_case": (sort_case, SORT_SQL),
     "asof_chapter": (asof_chapter, ASOF_SQL),
-    "band_join": (band_join, "SELECT p_partkey AS a, s_suppkey AS b FROM part JOIN supplier ON abs(p_partkey - s_suppkey) <= 2 WHERE p_size = 50"),
+    "band_join": (band_join, "SELECT p_partkey AS a, s_suppkey AS b FROM part JOIN supplier ON abs(p_partkey - s_suppkey) <= 2"),
     "band_join_all": (band_join_all, "SELECT p_partkey AS a, s_suppkey AS b FROM part JOIN supplier ON abs(p_partkey - s_suppkey) <= 2"),
     "substr_join": (substr_join, SUBSTR_SQL),
     "substr_first": (substr_first, SUBSTR_FIRST_SQL),
