@@ -134,7 +134,7 @@ class ItemIndex:
         for at, own in enumerate(self.tokens):
             if 0 < len(own) < 2 * TERM:
                 self.short.setdefault(len(own), {}).setdefault(int(_runs(own, len(own))[0]), []).append(at)
-            else:
+            elif len(own):
                 parts += [(at, part) for part in _parts(own)]
         self.owner = np.array([at for at, _ in parts], dtype=np.int64)
         statistics = statistics or Statistics().add_parts([part for _, part in parts])

@@ -467,8 +467,13 @@ class Tagger:
     # -- fitting ----------------------------------------------------------------------------------------------------
 
     def fit(self, documents: list[str], seed: int = 5) -> "Tagger":
-        """Fit to the mentions that cues mark in ``documents``; names are counted in them where that hasn't been done."""
+        """Fit to the mentions that cues mark in ``documents``; names are counted in them where that hasn't been done.
+
+        Without documents nothing is learned, and nothing will be found.
+        """
         documents = sorted(documents)
+        if not documents:
+            return self
         if not self.family and not self.western:
             names = pd.Series([n for d in documents for n in cued_names(plain(d))], dtype="object")
             counted = pd.DataFrame([p for n in names for p in name_parts(n)], columns=["what", "part"]).value_counts().reset_index(name="n")

@@ -148,3 +148,10 @@ def test_scans_are_repaired(spark):
     rows = repair(df, ["k"], editor).collect()
     assert sorted(r.k for r in rows) == ["1", "1", "3", "4"]
     assert repair(df.limit(0), ["k"], editor).count() == 0
+
+
+def test_scans_without_typed_texts(spark):
+    df = spark.createDataFrame([("甘草9g、白术", True), (None, False), ("", True)], "text string, scanned boolean").withColumn("k", F.lit(1))
+    for own in (df, df.limit(0)):
+        rows = repair(own.filter("scanned"), ["k"], fit_editor(own, "text", F.col("scanned"))).collect()
+        assert sorted(r.repaired for r in rows) == (["", "甘草9g、白术"] if rows else [])

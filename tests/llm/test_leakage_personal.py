@@ -196,3 +196,15 @@ def test_names_are_counted_over_all_texts(spark):
     rows = [(k, f"联系人：{_name(random.Random(k))}，电话13800000000。") for k in range(300)] + [(1000, None), (1001, "")]
     found = name_statistics(spark.createDataFrame(rows, "doc_id bigint, text string"), "text")
     assert set(found.loc[found["what"] == "family", "part"]) == set(FAMILY) and set(found.loc[found["what"] == "given", "part"]) == set(GIVEN)
+
+
+def test_nothing_to_fit_and_nothing_to_look_for(spark):
+    from quillsieve.llm.personal import fit_tagger
+
+    docs = spark.createDataFrame([(1, None), (2, ""), (3, "你好 José 13800000000"), (4, "用血府逐瘀汤")], "doc_id int, text string")
+    for df in (docs.limit(0), docs.filter("doc_id < 3")):
+        tagger = fit_tagger(df, "text")
+        assert find_mentions(docs, "doc_id", "text", tagger).count() == 0 and redact(docs, "doc_id", "text", tagger).count() == 4
+    items = spark.createDataFrame([("a", "血府逐瘀汤"), ("b", None), ("c", ""), ("d", "，，")], "item_id string, text string")
+    assert [(r.doc_id, r.item_id) for r in find_leaks(docs, "doc_id", "text", items).collect()] == [(4, "a")]
+    assert find_leaks(docs, "doc_id", "text", items.filter("item_id > 'a'")).count() == 0
