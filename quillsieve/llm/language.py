@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -26,6 +27,8 @@ TRAIN_SENTENCES = 2500
 LONGEST = 600
 #: A training sentence is dropped if another language saves more bits than this.
 DISPUTED_BITS = 10
+#: Bits by which a language must beat the next one for a sentence's language not to be in doubt.
+SURE_BITS = 6
 PAD = b"\n" * ORDER
 PROBES = 8
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -246,17 +249,21 @@ LATIN_LANGUAGES = frozenset({"en", "de", "fr", "es"})
 
 def sentences(text: str) -> list[str]:
     """The sentences of a text, without markup; a full stop inside a number or address doesn't end one."""
-    out, held = [], ""
-    for piece in SENTENCE.findall(MARKUP.sub(" ", text)):
+    return list(_sentences(text))
+
+
+def _sentences(text: str) -> Iterator[str]:
+    held = ""
+    for found in SENTENCE.finditer(MARKUP.sub(" ", text)):
+        piece = found.group()
         held += piece
         if piece.endswith(".") and held[-2:-1].isdigit() or len(held.strip()) < 2:
             continue
         if held.strip():
-            out.append(held.strip())
+            yield held.strip()
         held = ""
     if held.strip():
-        out.append(held.strip())
-    return out
+        yield held.strip()
 
 
 def is_running(sentence: str) -> bool:
@@ -281,19 +288,23 @@ def _pieces(sentence: str) -> list[str]:
     return [r for r in runs if r.strip()]
 
 
+def running_pieces(text: str) -> Iterator[str]:
+    """The pieces of a text that are scored, each cut when it is asked for."""
+    for sentence in _sentences(text):
+        yield from filter(is_running, _pieces(sentence))
+
+
 def segment_languages(model: LanguageModel, texts: list[str]) -> list[list[tuple[str, str, float]]]:
     """For each text its segments ``(segment, language, confidence)``; neighbours in one language are one segment.
 
-    A sentence whose language is in doubt (under 6 bits) takes that of the sentence before it, or else after it, if it is
-    written in the same script.
+    A sentence whose language is in doubt (under ``SURE_BITS``) takes that of the sentence before it, or else after it, if it
+    is written in the same script.
     """
     flat, owner = [], []
     for at, text in enumerate(texts):
-        for sentence in sentences(text or ""):
-            for piece in _pieces(sentence):
-                if is_running(piece):
-                    flat.append(piece)
-                    owner.append(at)
+        for piece in running_pieces(text or ""):
+            flat.append(piece)
+            owner.append(at)
     once = list(dict.fromkeys(flat))  # equal sentences are scored once
     where = dict(zip(once, range(len(once))))
     index = [where[piece] for piece in flat]
@@ -301,9 +312,9 @@ def segment_languages(model: LanguageModel, texts: list[str]) -> list[list[tuple
     names, sure, margin = [names[i] for i in index], sure[index], margin[index]
     out: list[list[tuple[str, str, float]]] = [[] for _ in texts]
     for at, name in enumerate(names):
-        if margin[at] < 6:
+        if margin[at] < SURE_BITS:
             for near in (at - 1, at + 1):
-                if 0 <= near < len(names) and owner[near] == owner[at] and margin[near] >= 6:
+                if 0 <= near < len(names) and owner[near] == owner[at] and margin[near] >= SURE_BITS:
                     if (names[near] in LATIN_LANGUAGES) == (name in LATIN_LANGUAGES):
                         name = names[near]
                         break

@@ -3,26 +3,28 @@
 Five defects: an answer with no content, one that breaks off, a refusal, an answer that only repeats its question, and one
 written wholly in another language.  Copies are found by aligning the answer with the question (containment of shingles,
 then the longest common subsequence), refusals by aligning each of its clauses with refusal templates; languages by the
-byte model of ``language``.  Every pair is examined: containment is computed for all pairs of a batch at once, and only
-pairs that it rules out are not aligned, as are only clauses that share too few character pairs with every template.
+byte model of ``language``.  Every pair is examined, each step as far as it can still change the result: shingles until too
+many are missing for a copy, clauses until one is no refusal, answers until a sentence is surely in the question's language.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Container
 from functools import lru_cache
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillsieve.llm.language import LanguageModel, segment_languages
+from quillsieve.llm.language import SURE_BITS, LanguageModel, running_pieces, segment_languages
 
 #: Characters in a shingle, and the containment and common share from which an answer is a copy.
 SHINGLE = 3
 COPY_CONTAINED = 0.9
 COPY_COMMON = 0.9
+#: Longest question that is searched for shingles as it is; those of longer ones are put into a set.
+SEARCHED = 256
 #: Share of a clause that must align with a template.
 CLAUSE_COMMON = 0.7
 
@@ -60,44 +62,12 @@ ASKED = (
 )
 
 
-def _bare(text: str) -> str:
-    return "".join(c for c in text.lower() if c.isalnum())
-
-
-@lru_cache(maxsize=1)
-def _letters() -> np.ndarray:
-    return np.array([chr(code).isalnum() for code in range(0x110000)])
-
-
-def _bare_all(texts: list[str]) -> list[str]:
-    """Every text in lower case without anything but letters and digits, whatever the layout."""
-    lowered = [t.lower() for t in texts]
-    codes = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    kept = _letters()[codes]
-    ends = np.concatenate([[0], np.cumsum(np.fromiter((len(t) for t in lowered), dtype=np.int64, count=len(lowered)))])
-    places = np.concatenate([[0], np.cumsum(kept)])[ends]
-    bare = codes[kept].tobytes().decode("utf-32-le", "surrogatepass")
-    return [bare[a:b] for a, b in zip(places, places[1:])]
-
-
-def _shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The shingles of all texts as integers that differ between texts, and the text of each."""
-    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
-    owner = np.repeat(np.arange(len(texts)), np.fromiter((len(t) for t in texts), dtype=np.int64, count=len(texts)))
-    mixed = np.zeros(max(0, len(codes) - SHINGLE + 1), dtype=np.uint64)
-    for k in range(SHINGLE):
-        mixed = (mixed << np.uint64(21)) | codes[k : k + len(mixed)]
-    inside = owner[: len(mixed)] == owner[SHINGLE - 1 :]
-    mixed, owner = mixed[inside], owner[: len(mixed)][inside]
-    mixed = (mixed ^ (owner.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xC2B2AE3D27D4EB4F)
-    return mixed, owner
+NO_LETTER = re.compile(r"[\W_]+")
 
 
-def contained(asked: list[str], said: list[str]) -> np.ndarray:
-    """How many shingles of each answer its question has, of bare texts."""
-    mine, _ = _shingles(asked)
-    own, owner = _shingles(said)
-    return np.bincount(owner, weights=np.isin(own, mine), minlength=len(said)).astype(np.int64)
+def _bare(text: str) -> str:
+    """A text in lower case without anything but letters and digits, whatever the layout."""
+    return NO_LETTER.sub("", text.lower())
 
 
 @lru_cache(maxsize=1)
@@ -126,6 +96,8 @@ def common_length(a: str, b: str) -> int:
 def _clause_kind(clause: str) -> str:
     """"refusal", "filler" or "" for a bare clause."""
     pairs = {clause[i : i + 2] for i in range(len(clause) - 1)} or {clause}
+    if len(pairs & _template_pairs()[0]) * 2 < len(pairs):
+        return ""  # all templates together share too few, so each does
     for kind, templates in zip(("refusal", "filler"), _templates()):
         for template, own in templates:
             if len(pairs & own) * 2 >= len(pairs) and common_length(clause, template) >= CLAUSE_COMMON * len(clause):
@@ -176,12 +148,22 @@ def is_refusal(answer: str) -> bool:
     return refuses
 
 
-def _enough(asked: str, said: str, found: int) -> bool:
-    """Whether an answer has so many of its question's shingles that it may be a copy."""
+def _enough(asked: str, said: str) -> bool:
+    """Whether an answer has so many of its question's shingles that it may be a copy; read until too many are missing."""
     if len(asked) < 4 or len(said) < 4:
         return False
     seams = (SHINGLE - 1) * (max(1, round(len(said) / len(asked))) - 1)
-    return found >= COPY_CONTAINED * (len(said) - SHINGLE + 1 - seams)
+    left = len(said) - SHINGLE + 1
+    least = COPY_CONTAINED * (left - seams)
+    known: Container[str] = asked
+    if len(asked) > SEARCHED:
+        known = {asked[i : i + SHINGLE] for i in range(len(asked) - SHINGLE + 1)}
+    for at in range(left):
+        if said[at : at + SHINGLE] not in known:
+            left -= 1
+            if left < least:
+                return False
+    return True
 
 
 def _aligned(asked: str, said: str) -> bool:
@@ -193,7 +175,7 @@ def _aligned(asked: str, said: str) -> bool:
 def is_copy(question: str, answer: str) -> bool:
     """Whether the answer only repeats the question, once or several times, layout aside."""
     asked, said = _bare(question), ECHO.sub("", _bare(answer))
-    return _enough(asked, said, int(contained([asked], [said])[0])) and _aligned(asked, said)
+    return _enough(asked, said) and _aligned(asked, said)
 
 
 def _asked_language(question: str) -> str | None:
@@ -211,17 +193,67 @@ EMPTY = re.compile(
 )
 KANA, HANGUL, HAN, OTHER = re.compile(r"[ぁ-ヺ]{2}"), re.compile(r"[가-힣]{2}"), re.compile(r"[㐀-鿿]{3}"), re.compile(r"[\u0370-\u1fff]{3}")
 LATIN = re.compile(r"[A-Za-zÀ-ɏ'’]+ [A-Za-zÀ-ɏ'’]+ [a-zÀ-ɏ'’]+")
+#: Without this a text has neither kana nor hangul nor other letters in a row.
+RARE = re.compile(r"[ぁ-ヺ가-힣\u0370-\u1fff][ぁ-ヺ가-힣\u0370-\u1fff]")
 #: Scripts that one language is written in, so texts wholly in the same one need no scoring.
 ONE_LANGUAGE = frozenset({("kana",), ("hangul",), ("han",)})
 
 
 def _scripts(text: str) -> tuple[str, ...]:
     """The scripts that running text of these letters is in."""
-    if KANA.search(text):
+    rare = RARE.search(text)
+    if rare and KANA.search(text):
         found = ["kana", *(["hangul"] if HANGUL.search(text) else [])]
     else:
-        found = [name for name, pattern in (("hangul", HANGUL), ("han", HAN)) if pattern.search(text)]
-    return tuple(found + [name for name, pattern in (("latin", LATIN), ("other", OTHER)) if pattern.search(text)])
+        found = [name for name, pattern in (("hangul", rare and HANGUL), ("han", HAN)) if pattern and pattern.search(text)]
+    if " " in text and LATIN.search(text):
+        found.append("latin")
+    if rare and OTHER.search(text):
+        found.append("other")
+    return tuple(found)
+
+
+def other_language(model: LanguageModel, pairs: list[tuple[str, str]]) -> list[bool]:
+    """Whether each answer is in none of its question's languages, nor in the one that the question asks for.
+
+    Only the first piece of an answer is scored where it is surely in a language of the question, which settles the pair.
+    """
+    asked = [{s[1] for s in found} for found in segment_languages(model, [q for q, _ in pairs])]
+    heads = [next(running_pieces(answer), None) if own else None for own, (_, answer) in zip(asked, pairs)]
+    once = list(dict.fromkeys(head for head in heads if head is not None))
+    names, _, margin = model.classify(once)
+    sure = {head: name for head, name, bits in zip(once, names, margin) if bits >= SURE_BITS}
+    open_ = [at for at, head in enumerate(heads) if head is not None and sure.get(head) not in asked[at]]
+    out = [False] * len(pairs)
+    for at, found in zip(open_, segment_languages(model, [pairs[at][1] for at in open_])):
+        said = {s[1] for s in found}
+        out[at] = bool(said) and not asked[at] & said and _asked_language(pairs[at][0]) not in said
+    return out
+
+
+def pair_defects(model: LanguageModel, questions: list[str | None], answers: list[str | None]) -> list[tuple[int, str]]:
+    """The defects of a batch of pairs, other than truncation: the place of the pair and the kind."""
+    found: list[tuple[int, str]] = []
+    differ: list[tuple[int, str, str]] = []
+    for at, (question, answer) in enumerate(zip(questions, answers)):
+        core = answer or ""
+        if "<think>" in core:
+            core = THINK.sub("", core)
+        if EMPTY.fullmatch(core):
+            found.append((at, "empty_answer"))
+            continue
+        if is_refusal(core):
+            found.append((at, "refusal"))
+        if not question or question.isspace():
+            continue
+        if is_copy(question, core):
+            found.append((at, "copies_question"))
+        before = _scripts(question)
+        after = _scripts(core) if before else ()
+        if after and (before != after or before not in ONE_LANGUAGE):
+            differ.append((at, question, core))
+    others = other_language(model, [(question, core) for _, question, core in differ])
+    return found + [(at, "other_language") for (at, _, _), other in zip(differ, others) if other]
 
 
 def defects(pairs: DataFrame, cut: DataFrame, model: LanguageModel) -> DataFrame:
@@ -235,35 +267,7 @@ def defects(pairs: DataFrame, cut: DataFrame, model: LanguageModel) -> DataFrame
 
     def run(batches):
         for batch in batches:
-            found: list[tuple[int, str]] = []
-            differ: list[tuple[int, str, str]] = []
-            asking: list[tuple[int, str, str]] = []
-            for at, (question, answer) in enumerate(zip(batch["question"], batch["answer"])):
-                core = answer or ""
-                if "<think>" in core:
-                    core = THINK.sub("", core)
-                if EMPTY.fullmatch(core):
-                    found.append((at, "empty_answer"))
-                    continue
-                if is_refusal(core):
-                    found.append((at, "refusal"))
-                if question and not question.isspace():
-                    asking.append((at, question, core))
-            asked = _bare_all([q for _, q, _ in asking])
-            said = [ECHO.sub("", t) for t in _bare_all([a for _, _, a in asking])]
-            shared = contained(asked, said)
-            for (at, question, core), bare_q, bare_a, common in zip(asking, asked, said, shared):
-                if _enough(bare_q, bare_a, int(common)) and _aligned(bare_q, bare_a):
-                    found.append((at, "copies_question"))
-                before, after = _scripts(question), _scripts(core)
-                if before and after and (before != after or before not in ONE_LANGUAGE):
-                    differ.append((at, question, core))
-            segments = segment_languages(sent.value, [q for _, q, _ in differ] + [a for _, _, a in differ])
-            for place, (at, question, _) in enumerate(differ):
-                asked = {s[1] for s in segments[place]}
-                said = {s[1] for s in segments[place + len(differ)]}
-                if asked and said and not asked & said and _asked_language(question) not in said:
-                    found.append((at, "other_language"))
+            found = pair_defects(sent.value, batch["question"].tolist(), batch["answer"].tolist())
             rows = batch[keys].iloc[[at for at, _ in found]].reset_index(drop=True)
             yield rows.assign(defect=pd.Series([name for _, name in found], dtype="object"))
 
